@@ -34,27 +34,37 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> files, found in one job over all files."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    first = (
+        lines.filter("start = 0").withColumn("at", F.monotonically_increasing_id())
+        .groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    )
+    groups: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():  # a file listing
+        groups.setdefault(r["header"], []).append(r["file"])
+    return groups
+
+
 def read_csv_dir(spark: SparkSession, path: str, infer: bool = True, schema: T.StructType | None = None) -> DataFrame:
     """All ``*.csv`` files of a folder, with ``source_file`` and ``extraction_timestamp``.
 
-    Files with the same header are one scan. Pass a schema (or ``infer=False``) for large inputs:
-    inferring reads the data once more.
+    Files with the same header are one scan. Pass a schema for large inputs with one header: finding
+    headers and inferring types read the text once more each.
     """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
-    files = sorted(r["path"] for r in found.collect())  # a file listing
-    if not files:
+    groups = {"": [path]} if schema is not None else _headers(spark, path)
+    if not groups:
         raise FileNotFoundError(f"no CSV files in {path}")
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    if schema is not None:
-        by_header[tuple(schema.names)] = files
-    else:
-        for f in files:
-            by_header.setdefault(tuple(spark.read.option("header", True).csv(f).columns), []).append(f)
     frames = []
-    for group in by_header.values():
-        reader = spark.read.option("header", True)
+    for files in groups.values():
+        reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
-        frames.append(reader.csv(group).select("*", F.col("_metadata.file_name").alias("source_file")))
+        # one header for all: scan the folder itself instead of a long list of files
+        scan = reader.csv(path if len(groups) == 1 else files)
+        frames.append(scan.select("*", F.col("_metadata.file_name").alias("source_file")))
     return union_by_name(frames).withColumn("extraction_timestamp", F.current_timestamp())
 
 
