@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from brightloom.operators.joins import lookup_join
 from brightloom.staging import stage
+from brightloom.unions import union_all
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -16,7 +17,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     a written table, and the number of changed nodes is the only thing read by the driver.
     """
     both = stage(
-        edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(),
+        union_all(edges.select("u", "v"), edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(),
         "edges",
     )
     forest = stage(nodes.select("id", F.col("id").alias("f")), "forest")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from brightloom.functions.calendar import forecast_calendar
+from brightloom.unions import union_all
 
 LOOKBACK = 60
 HORIZON = 90
@@ -109,7 +110,7 @@ def naive_forecast(series: DataFrame, lag: int, model: str) -> DataFrame:
 def history_plus(series: DataFrame, forecast: DataFrame) -> DataFrame:
     """History followed by forecast days, with a flag telling which is which."""
     past = series.select("series_id", "ds", "y", F.lit(0).alias("is_forecast"))
-    return past.unionByName(forecast.select("series_id", "ds", F.col("yhat").alias("y"), F.lit(1).alias("is_forecast")))
+    return union_all(past, forecast.select("series_id", "ds", F.col("yhat").alias("y"), F.lit(1).alias("is_forecast")))
 
 
 def accuracy(actual: DataFrame, forecast: DataFrame) -> DataFrame:

@@ -14,11 +14,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from brightloom.functions.calendar import forecast_calendar
+from brightloom.functions.calendar import FORECAST_CALENDAR, forecast_calendar
 from brightloom.operators.forecast_frames import (
     HORIZON, LOOKBACK, Z, accuracy, blend, forecast_features, inverse_rmse_weights, split_by_time,
 )
 from brightloom.staging import stage
+from brightloom.unions import union_all
 
 AR_MODEL = "series_id string, low double, width double, coef array<double>, sigma double, recent array<double>, last_ds date"
 
@@ -146,7 +147,7 @@ def forecast_seasonal(
 
 GBT_HORIZONS = (1, 2, 3, 5, 7, 14, 21, 30, 45, 60, 75, 90)
 _ORIGIN = [f"lag_{k}" for k in (1, 7, 30)] + [f"rolling_{s}_{w}" for w in (7, 14, 30) for s in ("mean", "std", "min", "max")]
-_TARGET_CALENDAR = list(forecast_calendar("ds"))
+_TARGET_CALENDAR = list(FORECAST_CALENDAR)
 GBT_FEATURES = ["level_now", *[f"{c}_rel" for c in _ORIGIN], "horizon", *_TARGET_CALENDAR]
 
 
@@ -203,8 +204,10 @@ def gbt_importances(spark: SparkSession, model: GBTRegressionModel) -> DataFrame
 
 
 def _all_forecasts(series: DataFrame, horizon: int, trees: int, depth: int) -> DataFrame:
-    parts = forecast_ar(fit_ar(series), horizon).unionByName(forecast_seasonal(fit_seasonal(series), horizon))
-    return parts.unionByName(forecast_gbt(fit_gbt(series, trees=trees, depth=depth), series, horizon)) if trees else parts
+    parts = [forecast_ar(fit_ar(series), horizon), forecast_seasonal(fit_seasonal(series), horizon)]
+    if trees:
+        parts.append(forecast_gbt(fit_gbt(series, trees=trees, depth=depth), series, horizon))
+    return union_all(*parts)
 
 
 def ensemble(

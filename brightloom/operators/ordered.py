@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from brightloom.staging import stage
+from brightloom.unions import union_all
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition number above these bits
 
@@ -124,7 +125,7 @@ def forward_fill(indexed: DataFrame, columns: Sequence[str], partition_by: Seque
         *[F.col(f"_tail_{c}").alias(f"_carry_{c}") for c in columns],
     )
     run = W.partitionBy("_edge_key").orderBy("_part", "_side").rowsBetween(W.unboundedPreceding, -1)
-    carried = heads.unionByName(tails)
+    carried = union_all(heads, tails)
     for c in columns:
         carried = carried.withColumn(f"_carry_{c}", F.last(f"_carry_{c}", ignorenulls=True).over(run))
     carried = carried.filter("_side = 0").drop("_side")

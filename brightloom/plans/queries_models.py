@@ -12,6 +12,7 @@ from brightloom.plans import enrich
 from brightloom.plans.rounding import r
 from brightloom.plans.sqltext import DAILY, FRAME, rnd, scaled
 from brightloom.staging import stage, stage_path
+from brightloom.unions import union_all
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -119,14 +120,17 @@ def _daily(spark: SparkSession, sf: str) -> DataFrame:
     return stage(fx.daily(spark, sf), "daily")
 
 
-_DS = F.date_format("ds", "yyyy-MM-dd").alias("ds")
+def _ds():
+    return F.date_format("ds", "yyyy-MM-dd").alias("ds")
+
+
 _DS_SQL = "strftime(ds, '%Y-%m-%d') AS ds"
 
 
 @query
 def fc_series(spark: SparkSession, sf: str) -> DataFrame:
     s = ff.daily_series(fx.sales(spark, sf), F.col("region"), F.col("date"), F.col("sales_amount"), fill=0.0, fill_gaps=True)
-    return s.select("series_id", _DS, r("y").alias("y"))
+    return s.select("series_id", _ds(), r("y").alias("y"))
 
 
 SQL["fc_series"] = f"""{DAILY}, span AS (SELECT series_id, min(ds) AS a, max(ds) AS b FROM daily GROUP BY 1),
@@ -136,7 +140,7 @@ SQL["fc_series"] = f"""{DAILY}, span AS (SELECT series_id, min(ds) AS a, max(ds)
 
 @query
 def fc_split(spark: SparkSession, sf: str) -> DataFrame:
-    return ff.split_by_time(_daily(spark, sf)).select("series_id", _DS, "position", "size", "part")
+    return ff.split_by_time(_daily(spark, sf)).select("series_id", _ds(), "position", "size", "part")
 
 
 SQL["fc_split"] = f"""{DAILY}, n AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS position, count(*) OVER (PARTITION BY series_id) AS size FROM daily)
@@ -147,11 +151,11 @@ SQL["fc_split"] = f"""{DAILY}, n AS (SELECT *, row_number() OVER (PARTITION BY s
 def fc_sequences(spark: SparkSession, sf: str) -> DataFrame:
     q = ff.sequences(_daily(spark, sf))
     total = F.aggregate("history", F.lit(0.0), lambda a, v: a + v)
-    return q.select("series_id", _DS, F.size("history").alias("length"), r(F.element_at("history", 1)).alias("first_value"), r(F.element_at("history", -1)).alias("last_value"), r(total, 3).alias("total"), r("y").alias("y"))
+    return q.select("series_id", _ds(), F.size("history").alias("length"), r(F.element_at("history", 1)).alias("first_value"), r(F.element_at("history", -1)).alias("last_value"), r(total).alias("total"), r("y").alias("y"))
 
 
 SQL["fc_sequences"] = f"""{DAILY}, q AS (SELECT series_id, ds, y, list(y) OVER (PARTITION BY series_id ORDER BY ds ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS h FROM daily)
- SELECT series_id, {_DS_SQL}, CAST(len(h) AS INTEGER) AS length, {rnd('h[1]')} AS first_value, {rnd('h[60]')} AS last_value, {rnd('list_sum(h)', 3)} AS total, {rnd('y')} AS y FROM q WHERE len(h) = 60"""
+ SELECT series_id, {_DS_SQL}, CAST(len(h) AS INTEGER) AS length, {rnd('h[1]')} AS first_value, {rnd('h[60]')} AS last_value, {rnd('list_sum(h)')} AS total, {rnd('y')} AS y FROM q WHERE len(h) = 60"""
 
 _FEATURES = [f"lag_{k}" for k in ff.LAGS] + [f"rolling_{s}_{w}" for w in ff.WINDOWS for s in ("mean", "std", "min", "max")]
 
@@ -160,7 +164,7 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     root = _daily(spark, sf).withColumn("y", F.sqrt("y"))
     f = ff.forecast_features(root)
     waves = ["month_sin", "month_cos", "day_sin", "day_cos"]
-    return f.select("series_id", _DS, *[r(c, 6).alias(c) for c in _FEATURES + waves], "day_of_week", "month", "quarter", "year", "day_of_year")
+    return f.select("series_id", _ds(), *[r(c, 6).alias(c) for c in _FEATURES + waves], "day_of_week", "month", "quarter", "year", "day_of_year")
 
 
 def _features_sql() -> str:
@@ -199,16 +203,16 @@ SQL["feat_dropna"] = f"""SELECT series_id, count(*) AS n_rows, min(ds) AS first_
 def fc_minmax(spark: SparkSession, sf: str) -> DataFrame:
     s = ff.scaled_series(_daily(spark, sf))
     back = ff.unscale(F.col("y_scaled"), F.col("y_low"), F.col("y_high"))
-    return s.select("series_id", _DS, r("y_scaled", 8).alias("y_scaled"), r(back, 3).alias("y_back"))
+    return s.select("series_id", _ds(), r("y_scaled", 8).alias("y_scaled"), r(back).alias("y_back"))
 
 
 SQL["fc_minmax"] = f"""{DAILY}, b AS (SELECT *, min(y) OVER (PARTITION BY series_id) AS lo, max(y) OVER (PARTITION BY series_id) AS hi FROM daily)
- SELECT series_id, {_DS_SQL}, {rnd('(y - lo) / coalesce(nullif(hi - lo, 0), 1)', 8)} AS y_scaled, {rnd('y', 3)} AS y_back FROM b"""
+ SELECT series_id, {_DS_SQL}, {rnd('(y - lo) / coalesce(nullif(hi - lo, 0), 1)', 8)} AS y_scaled, {rnd('y')} AS y_back FROM b"""
 
 
 @query
 def fc_tail(spark: SparkSession, sf: str) -> DataFrame:
-    return ff.tail(_daily(spark, sf), 60).select("series_id", _DS, r("y").alias("y"))
+    return ff.tail(_daily(spark, sf), 60).select("series_id", _ds(), r("y").alias("y"))
 
 
 SQL["fc_tail"] = f"""{DAILY}, n AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS k FROM daily)
@@ -217,7 +221,7 @@ SQL["fc_tail"] = f"""{DAILY}, n AS (SELECT *, row_number() OVER (PARTITION BY se
 
 @query
 def fc_calendar(spark: SparkSession, sf: str) -> DataFrame:
-    return ff.future_days(_daily(spark, sf)).select("series_id", "step", _DS)
+    return ff.future_days(_daily(spark, sf)).select("series_id", "step", _ds())
 
 
 SQL["fc_calendar"] = f"""{DAILY}, l AS (SELECT series_id, max(ds) AS d FROM daily GROUP BY 1)
@@ -229,7 +233,7 @@ def fc_fourier(spark: SparkSession, sf: str) -> DataFrame:
     d = _daily(spark, sf)
     terms = [t for name, period, order in fm.SEASONS for t in fm.fourier(F.col("ds"), period, order, name)]
     wide = d.select("series_id", "ds", *terms)
-    return wide.select("series_id", _DS, *[r(c, 6).alias(c) for c in wide.columns[2:]])
+    return wide.select("series_id", _ds(), *[r(c, 6).alias(c) for c in wide.columns[2:]])
 
 
 SQL["fc_fourier"] = f"{DAILY}, e AS (SELECT series_id, ds, CAST(ds - DATE '1970-01-01' AS DOUBLE) AS day FROM daily) SELECT series_id, {_DS_SQL}, " + ", ".join(
@@ -240,7 +244,7 @@ SQL["fc_fourier"] = f"{DAILY}, e AS (SELECT series_id, ds, CAST(ds - DATE '1970-
 
 
 def _naive(series: DataFrame) -> DataFrame:
-    return ff.naive_forecast(series, 7, "week_ago").unionByName(ff.naive_forecast(series, 1, "yesterday"))
+    return union_all(ff.naive_forecast(series, 7, "week_ago"), ff.naive_forecast(series, 1, "yesterday"))
 
 
 def _judged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -281,7 +285,7 @@ SQL["fc_weights"] = f"{_JUDGED} SELECT series_id, model, {rnd('weight', 8)} AS w
 def fc_blend(spark: SparkSession, sf: str) -> DataFrame:
     forecasts, metrics = _judged(spark, sf)
     b = ff.blend(forecasts, ff.inverse_rmse_weights(metrics))
-    return b.select("series_id", _DS, *[r(c).alias(c) for c in ("yhat", "lower", "upper")], "n_models")
+    return b.select("series_id", _ds(), *[r(c).alias(c) for c in ("yhat", "lower", "upper")], "n_models")
 
 
 SQL["fc_blend"] = f"""{_JUDGED} SELECT f.series_id, strftime(ds, '%Y-%m-%d') AS ds, {rnd('sum(weight * yhat)')} AS yhat, {rnd('sum(weight * yhat * 0.95::DOUBLE)')} AS lower,
@@ -294,7 +298,7 @@ def fc_history_plus(spark: SparkSession, sf: str) -> DataFrame:
     s = _daily(spark, sf)
     last = ff.tail(s, 1).select("series_id", F.col("y").alias("yhat"))
     future = ff.future_days(s).join(last, "series_id")
-    return ff.history_plus(s, future).select("series_id", _DS, r("y").alias("y"), "is_forecast")
+    return ff.history_plus(s, future).select("series_id", _ds(), r("y").alias("y"), "is_forecast")
 
 
 SQL["fc_history_plus"] = f"""{DAILY}, l AS (SELECT series_id, max(ds) AS d, arg_max(y, ds) AS y FROM daily GROUP BY 1)

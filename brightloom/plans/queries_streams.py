@@ -10,6 +10,7 @@ from brightloom.plans.rounding import r
 from brightloom.plans.sqltext import rnd
 from brightloom.staging import stage_path
 from brightloom.streaming import events as ev
+from brightloom.unions import union_all
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -39,7 +40,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Events replayed with a copy of every 50th row."""
     e = fx.events(spark, sf)
     folder = stage_path(spark, "replay")
-    e.unionByName(e.filter("event_id % 50 = 0")).write.parquet(folder)
+    union_all(e, e.filter("event_id % 50 = 0")).write.parquet(folder)
     once = ev.run_to_files(ev.dedup(ev.event_stream(spark, folder, "*.parquet")), "dedup")
     return once.select("event_id", "user_id", "event_type", "value")
 

@@ -11,6 +11,7 @@ from brightloom.plans.rounding import r
 from brightloom.plans.sqltext import DIRTY, SALES, rnd
 from brightloom.sources import generators, readers, sinks
 from brightloom.staging import stage_path
+from brightloom.unions import union_all
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -59,18 +60,17 @@ SQL["src_table_query"] = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpri
 @query
 def src_blob_formats(spark: SparkSession, sf: str) -> DataFrame:
     part = fx.table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
-    out = None
+    found = []
     for kind in readers.FORMATS:
         path = stage_path(spark, f"blob-{kind}")
         writer = part.write.option("header", True) if kind == "csv" else part.write
         writer.format(kind).save(path)
         df = readers.read_blob(spark, path, kind.upper())
-        df = df.select(
+        found.append(df.select(
             F.lit(kind).alias("format"), F.col("p_partkey").cast("long").alias("p_partkey"), "p_name", "p_retailprice",
             F.col("source_blob").contains(f"blob-{kind}").cast("int").alias("from_blob"),
-        )
-        out = df if out is None else out.unionByName(df)
-    return out
+        ))
+    return union_all(*found)
 
 
 SQL["src_blob_formats"] = """SELECT f.format, p_partkey, p_name, p_retailprice, 1 AS from_blob

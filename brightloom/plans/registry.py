@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import importlib
+from brightloom.plans import queries_features, queries_models, queries_streams, queries_tables
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
-for _module in ("queries_tables", "queries_features", "queries_models", "queries_streams"):
-    try:
-        _m = importlib.import_module(f"brightloom.plans.{_module}")
-    except ModuleNotFoundError:
-        continue
-    QUERIES.update(_m.QUERIES)
-    SQL.update(_m.SQL)
+for _module in (queries_tables, queries_features, queries_models, queries_streams):
+    QUERIES.update(_module.QUERIES)
+    SQL.update(_module.SQL)

@@ -10,6 +10,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+from brightloom.unions import guard
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "brightloom") -> SparkSession:
     builder = (
@@ -25,6 +27,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "bri
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    guard(spark)
     if spark.conf.get("spark.checkpoint.dir", None) is None:
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="brightloom-"))
     return spark

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from brightloom.unions import union_all
 
 log = logging.getLogger(__name__)
 
@@ -27,11 +28,7 @@ def _align(frames: list[DataFrame]) -> list[DataFrame]:
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
     """Union of tables by column name; a column absent from one is null there."""
-    aligned = _align(frames)
-    out = aligned[0]
-    for df in aligned[1:]:
-        out = out.unionByName(df, allowMissingColumns=True)
-    return out
+    return union_all(*_align(frames), missing=True)
 
 
 def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:

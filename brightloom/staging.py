@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brightloom.unions import guard
+
 
 def stage_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a local session may fall back to its own."""
@@ -31,6 +33,7 @@ def stage_path(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
     spark = df.sparkSession
+    guard(spark)
     path = stage_path(spark, label)
     df.write.option("compression", "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
