@@ -113,12 +113,12 @@ def parse_dates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 def clean_sales(df: DataFrame, approx: bool = False) -> DataFrame:
     """Names, median fill, mode fill, dates, in this order."""
-    return parse_dates(impute_mode(impute_median(clean_names(df), approx=approx)))
+    return parse_dates(impute_mode(impute_median(nan_to_null(clean_names(df)), approx=approx)))
 
 
 def clean_customers(df: DataFrame, approx: bool = False) -> DataFrame:
     """Names, skew-aware fill, mode fill."""
-    return impute_mode(impute_by_skew(clean_names(df), approx=approx))
+    return impute_mode(impute_by_skew(nan_to_null(clean_names(df)), approx=approx))
 
 
 def null_cells(df: DataFrame) -> DataFrame:

@@ -11,14 +11,16 @@ MAX_HOT_KEYS = 10_000
 
 
 def lookup_join(
-    rows: DataFrame, stats: DataFrame, keys: Sequence[str], weight: str, how: str = "left"
+    rows: DataFrame, stats: DataFrame, keys: Sequence[str], weight: str, how: str = "left",
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Left join ``stats`` (a staged table, one row per key) to ``rows``.
+    """Join ``stats`` (a staged table, one row per key) to ``rows``, left unless told otherwise.
 
     ``weight`` is the number of rows of each key. A small ``stats`` is broadcast by Spark from its
     written size. Otherwise the rows of a hot key are dealt over several salts and its stats row is
     repeated once per salt. The list of hot keys is bounded: at most total / HOT_ROWS and never more
-    than MAX_HOT_KEYS, because the bar rises with the total.
+    than MAX_HOT_KEYS, because the bar rises with the total. Rows are dealt by a hash of ``spread_by``
+    (columns that tell rows apart; all columns by default), so a repeated task deals them the same way.
     """
     total, top = stats.agg(F.sum(weight), F.max(weight)).first()
     bar = max(HOT_ROWS, (total or 0) // MAX_HOT_KEYS)
@@ -30,7 +32,7 @@ def lookup_join(
     dealt = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
         "_salt",
         F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*rows.columns), F.col("_salts")).cast("int")
+            F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.col("_salts")).cast("int")
         ),
     )
     copies = F.sequence(F.lit(0), F.when(F.col(weight) > bar, salts - 1).otherwise(F.lit(0)))

@@ -51,17 +51,6 @@ def row_index(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str
     )
 
 
-def position_in_group(indexed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """From ``row_index`` output add ``_seq`` (1-based place in its key) and ``_size`` (rows of its key)."""
-    from brightloom.operators.joins import lookup_join
-
-    groups = stage(
-        indexed.groupBy(*keys).agg(F.min("_rn").alias("_first"), F.count(F.lit(1)).alias("_size")), "groups"
-    )
-    joined = lookup_join(indexed, groups, keys, weight="_size")
-    return joined.withColumn("_seq", F.col("_rn") - F.col("_first") + 1).drop("_first")
-
-
 def prefix_sum(df: DataFrame, order_by: Sequence[str], amount: str, out: str) -> DataFrame:
     """Add the total of ``amount`` over all rows that sort before this one (0 for the first)."""
     staged = _range_sorted(df, order_by)

@@ -166,7 +166,7 @@ SQL["roll_pct_change"] = f"""{_GAPPY}, f AS (SELECT o_orderkey, o_orderdate, las
 
 @query
 def stat_zscore(spark: SparkSession, sf: str) -> DataFrame:
-    out = rolling.zscore(fx.sales_dirty(spark, sf), ["sales_amount", "quantity"])
+    out = rolling.zscore(_dirty_measures(spark, sf), ["sales_amount", "quantity"])
     return out.select("order_id", "l_linenumber", "l_partkey", r("sales_amount_zscore", 6).alias("sales_amount_zscore"), r("quantity_zscore", 6).alias("quantity_zscore"))
 
 
@@ -199,7 +199,7 @@ SQL["stat_percentile"] = f"""{DIRTY} SELECT order_id, l_linenumber, l_partkey, {
 
 @query
 def sales_business(spark: SparkSession, sf: str) -> DataFrame:
-    out = business.sales_ratios(fx.sales_dirty(spark, sf))
+    out = business.sales_ratios(_dirty_measures(spark, sf))
     return out.select("order_id", "l_linenumber", "l_partkey", r("unit_price").alias("unit_price"), "high_value_sale", r("profit_margin", 6).alias("profit_margin"), "profitable")
 
 
@@ -314,7 +314,8 @@ _OUT = ["sales_amount", "quantity", "profit"]
 
 
 def _dirty_measures(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.sales_dirty(spark, sf).select("order_id", "l_linenumber", "l_partkey", *_OUT)
+    # the rules read the measures several times: join once, then scan the narrow table
+    return stage(fx.sales_dirty(spark, sf).select("order_id", "l_linenumber", "l_partkey", *_OUT), "measures")
 
 
 def _flags(df: DataFrame) -> DataFrame:
@@ -487,7 +488,8 @@ SQL["usage_analytics"] = """WITH u AS (SELECT user_id % 10 AS workbook_id, user_
 @query
 def sales_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     """The whole sales cleaning chain on rows with gaps."""
-    out = clean_sales(fx.sales_dirty(spark, sf).select("order_id", "l_linenumber", "l_partkey", "sales_amount", "quantity", "region", "date_text"))
+    d = fx.sales_dirty(spark, sf).select("order_id", "l_linenumber", "l_partkey", "sales_amount", "quantity", "region", "date_text")
+    out = clean_sales(stage(d, "dirty"))
     return out.select("order_id", "l_linenumber", "l_partkey", r("sales_amount").alias("sales_amount"), "quantity", "region", F.date_format("date_text", "yyyy-MM-dd").alias("date_text"))
 
 

@@ -10,7 +10,7 @@ from brightloom.operators import cleaning, quality, reports
 from brightloom.plans.rounding import r
 from brightloom.plans.sqltext import DIRTY, SALES, rnd
 from brightloom.sources import generators, readers, sinks
-from brightloom.staging import stage_path
+from brightloom.staging import stage, stage_path
 from brightloom.unions import union_all
 
 QUERIES: dict = {}
@@ -272,7 +272,7 @@ SQL["clean_names"] = "SELECT c_custkey AS customer_id, c_name AS full_name, c_ac
 
 @query
 def clean_median_impute(spark: SparkSession, sf: str) -> DataFrame:
-    d = fx.sales_dirty(spark, sf)
+    d = stage(fx.sales_dirty(spark, sf).select("order_id", "l_linenumber", "l_partkey", "sales_amount", "quantity", "profit"), "dirty")
     out = cleaning.impute_median(d, ["sales_amount", "quantity", "profit"])
     return out.select("order_id", "l_linenumber", "l_partkey", r("sales_amount").alias("sales_amount"), r("quantity").alias("quantity"), r("profit").alias("profit"))
 
@@ -291,7 +291,7 @@ def _skewed(d: DataFrame) -> DataFrame:
 @query
 def clean_skew_impute(spark: SparkSession, sf: str) -> DataFrame:
     cols = ["right_tail", "left_tail", "quantity", "profit"]
-    out = cleaning.impute_by_skew(_skewed(fx.sales_dirty(spark, sf)), cols)
+    out = cleaning.impute_by_skew(stage(_skewed(fx.sales_dirty(spark, sf)), "dirty"), cols)
     return out.select("order_id", "l_linenumber", "l_partkey", *[r(c).alias(c) for c in cols])
 
 
@@ -307,7 +307,8 @@ SQL["clean_skew_impute"] = f"""{DIRTY}, s AS (SELECT order_id, l_linenumber, l_p
 
 @query
 def clean_mode_impute(spark: SparkSession, sf: str) -> DataFrame:
-    d = fx.sales_dirty(spark, sf).withColumn("channel", F.lit(None).cast("string"))
+    d = fx.sales_dirty(spark, sf).select("order_id", "l_linenumber", "l_partkey", "region", "product")
+    d = stage(d.withColumn("channel", F.lit(None).cast("string")), "dirty")
     out = cleaning.impute_mode(d, ["region", "product", "channel"])
     return out.select("order_id", "l_linenumber", "l_partkey", "region", "product", "channel")
 
@@ -373,7 +374,7 @@ SQL["quality_score"] = f"""{DIRTY}, n AS (SELECT count(*) AS rows, count(*) * 6
 
 @query
 def nulls_handled(spark: SparkSession, sf: str) -> DataFrame:
-    d = fx.sales_dirty(spark, sf).select(*_Q_COLS)
+    d = stage(fx.sales_dirty(spark, sf).select(*_Q_COLS), "dirty")
     return cleaning.nulls_handled(d, cleaning.clean_sales(d))
 
 
@@ -393,7 +394,7 @@ SQL["quality_alert"] = f"""{DIRTY}, n AS (SELECT ({_NULLS}) / (count(*) * 6) AS
 
 @query
 def expect_fit(spark: SparkSession, sf: str) -> DataFrame:
-    e = quality.fit_expectations(fx.sales_dirty(spark, sf).select(*_Q_COLS))
+    e = quality.fit_expectations(stage(fx.sales_dirty(spark, sf).select(*_Q_COLS), "dirty"))
     return e.select("column", "kind", r("lo").alias("lo"), r("hi").alias("hi"), F.array_join("value_set", "|").alias("value_set"), "mostly")
 
 
@@ -419,7 +420,7 @@ def _drifted(d: DataFrame) -> DataFrame:
 
 
 def _validated(spark: SparkSession, sf: str) -> DataFrame:
-    learned = quality.fit_expectations(fx.sales(spark, sf).select(*_Q_COLS))
+    learned = quality.fit_expectations(stage(fx.sales(spark, sf).select(*_Q_COLS), "sales"))
     return quality.validate(_drifted(fx.sales_dirty(spark, sf).select(*_Q_COLS)), learned)
 
 
