@@ -1,10 +1,9 @@
 """Exact order statistics and quantiles in a few scans, without sorting the table.
 
 The built-in exact ``percentile`` keeps every distinct value of a column in one task. Here
-``percentile_approx`` brackets each wanted rank, one scan counts what lies below and inside each
-bracket, and only a bracket known to hold at most ``PICK_ROWS`` rows is sorted. A bracket that is still
-larger is bracketed again. A value that fills a whole bracket (a hot value) ends the search at once.
-All columns and ranks share the same scans.
+``percentile_approx`` names two values around each wanted rank, one scan counts what lies below, at and
+between them, and only a bracket known to hold at most ``PICK_ROWS`` rows is sorted. A larger one is cut
+again. A hot value ends the search as soon as it is a cut. All columns and ranks share the same scans.
 """
 
 from __future__ import annotations
@@ -32,26 +31,22 @@ class Ask:
 
 @dataclass
 class _Bracket:
+    """The values strictly between ``low`` and ``high`` (None: open) that still hold the wanted rank."""
+
     ask: Ask
     rank: int
-    low: Any = None  # None: open end
-    high: Any = None
+    inside: int
     below: int = 0
-    inside: int | None = None  # None: not counted yet
+    low: Any = None
+    high: Any = None
 
-    def holds(self) -> Column:
+    def value(self) -> Column:
         cond = self.ask.expr.isNotNull()
         if self.low is not None:
-            cond = cond & (self.ask.expr >= F.lit(self.low))
+            cond = cond & (self.ask.expr > F.lit(self.low))
         if self.high is not None:
-            cond = cond & (self.ask.expr <= F.lit(self.high))
-        return cond
-
-    def value(self) -> Column:
-        return F.when(self.holds(), self.ask.expr)
-
-    def under(self) -> Column:
-        return F.count_if(self.ask.expr < F.lit(self.low)) if self.low is not None else F.count(F.lit(None))
+            cond = cond & (self.ask.expr < F.lit(self.high))
+        return F.when(cond, self.ask.expr)
 
 
 def _aggregate(df: DataFrame, columns: list[Column], width: int = 400) -> list[Any]:
@@ -63,28 +58,33 @@ def _aggregate(df: DataFrame, columns: list[Column], width: int = 400) -> list[A
 
 
 def _narrow(df: DataFrame, large: list[_Bracket], accuracy: int) -> None:
-    """Bracket each wanted rank inside its present bracket."""
+    """Cut each bracket at two of its own values around the wanted rank.
+
+    The two values leave the bracket, so every round makes progress, however many rows share a value.
+    """
     eps = 2.0 / accuracy
-    columns = []
+    around = []
     for b in large:
         p = (b.rank - b.below + 0.5) / b.inside
-        columns.append(F.percentile_approx(b.value(), [max(0.0, p - eps), min(1.0, p + eps)], accuracy))
-    got = _aggregate(df, columns)
-    tries = [_Bracket(b.ask, b.rank, near[0], near[1]) for b, near in zip(large, got)]
-    _count(df, tries)
-    for b, t in zip(large, tries):
-        if b.rank < t.below:  # the approximate bracket lies above the rank
-            b.high, b.inside = t.low, None
-        elif b.rank >= t.below + t.inside:  # or below it
-            b.low, b.inside = t.high, None
+        around.append(F.percentile_approx(b.value(), [max(0.0, p - eps), min(1.0, p + eps)], accuracy))
+    cuts = _aggregate(df, around)
+    tallies = []
+    for b, (lo, hi) in zip(large, cuts):
+        x = b.ask.expr
+        tallies += [F.count_if(x < F.lit(lo)), F.count_if(x <= F.lit(lo)), F.count_if(x < F.lit(hi)), F.count_if(x <= F.lit(hi))]
+    got = _aggregate(df, tallies)
+    for i, (b, (lo, hi)) in enumerate(zip(large, cuts)):
+        under_lo, to_lo, under_hi, to_hi = got[4 * i : 4 * i + 4]
+        if b.rank < under_lo:
+            b.high, b.inside = lo, under_lo - b.below
+        elif b.rank < to_lo:
+            b.ask.found[b.rank] = lo
+        elif b.rank < under_hi:
+            b.low, b.high, b.below, b.inside = lo, hi, to_lo, under_hi - to_lo
+        elif b.rank < to_hi:
+            b.ask.found[b.rank] = hi
         else:
-            b.low, b.high, b.below, b.inside = t.low, t.high, t.below, t.inside
-
-
-def _count(df: DataFrame, brackets: list[_Bracket]) -> None:
-    got = _aggregate(df, [c for b in brackets for c in (b.under(), F.count_if(b.holds()))])
-    for b, below, inside in zip(brackets, got[0::2], got[1::2]):
-        b.below, b.inside = below, inside
+            b.low, b.below, b.inside = hi, to_hi, b.below + b.inside - to_hi
 
 
 def _pick(df: DataFrame, brackets: list[_Bracket]) -> None:
@@ -112,19 +112,10 @@ def order_statistics(
     df: DataFrame, asks: Sequence[Ask], pick_rows: int = PICK_ROWS, accuracy: int = ACCURACY
 ) -> None:
     """Fill ``ask.found[rank]`` for every ask."""
-    work = [_Bracket(a, r, inside=a.n) for a in asks for r in sorted(set(a.ranks)) if 0 <= r < a.n]
-    while True:
-        uncounted = [b for b in work if b.inside is None]
-        if uncounted:
-            _count(df, uncounted)
-        settled = [b for b in work if b.low is not None and b.low == b.high]
-        for b in settled:
-            b.ask.found[b.rank] = b.low
-        work = [b for b in work if not any(b is s for s in settled)]
-        large = [b for b in work if b.inside > pick_rows]
-        if not large:
-            break
+    work = [_Bracket(a, r, a.n) for a in asks for r in sorted(set(a.ranks)) if 0 <= r < a.n]
+    while large := [b for b in work if b.inside > pick_rows]:
         _narrow(df, large, accuracy)
+        work = [b for b in work if b.rank not in b.ask.found]
     if work:
         _pick(df, work)
 
