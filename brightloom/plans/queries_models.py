@@ -81,10 +81,12 @@ def ml_dbscan(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("customer_id", "dbscan_core", "is_outlier")
 
 
-SQL["ml_dbscan"] = f"""{FRAME}, p AS MATERIALIZED (SELECT customer_id, {scaled('c_acctbal')} AS x, {scaled('amount_sum')} AS y FROM frame),
- near AS (SELECT a.customer_id AS a, b.customer_id AS b FROM p a JOIN p b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {_EPS}::DOUBLE * {_EPS}::DOUBLE),
- core AS (SELECT a FROM near GROUP BY a HAVING count(*) >= 5),
- touched AS (SELECT DISTINCT a FROM near WHERE b IN (SELECT a FROM core))
+_NEAR_SQL = f"""WITH RECURSIVE {FRAME.removeprefix('WITH ')}, p AS MATERIALIZED (SELECT customer_id, {scaled('c_acctbal')} AS x, {scaled('amount_sum')} AS y FROM frame),
+ near AS MATERIALIZED (SELECT a.customer_id AS a, b.customer_id AS b FROM p a JOIN p b
+ ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {_EPS}::DOUBLE * {_EPS}::DOUBLE),
+ core AS MATERIALIZED (SELECT a FROM near GROUP BY a HAVING count(*) >= 5)"""
+
+SQL["ml_dbscan"] = f"""{_NEAR_SQL}, touched AS (SELECT DISTINCT a FROM near WHERE b IN (SELECT a FROM core))
  SELECT customer_id, CAST(customer_id IN (SELECT a FROM core) AS INTEGER) AS dbscan_core,
  CAST(customer_id NOT IN (SELECT a FROM touched) AS INTEGER) AS is_outlier FROM p"""
 
@@ -97,6 +99,15 @@ def ml_dbscan_labels(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("customer_id", "dbscan_cluster")
 
 
+SQL["ml_dbscan_labels"] = f"""{_NEAR_SQL}, link AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (SELECT a FROM core) AND b IN (SELECT a FROM core)),
+ reach(root, a) AS (SELECT a, a FROM core UNION SELECT r.root, l.b FROM reach r JOIN link l ON r.a = l.a),
+ label AS (SELECT a, min(root) AS root FROM reach GROUP BY a),
+ numbered AS (SELECT a, dense_rank() OVER (ORDER BY root) - 1 AS c FROM label),
+ own AS (SELECT n.a, min(l.c) AS c FROM near n JOIN numbered l ON n.b = l.a GROUP BY n.a)
+ SELECT customer_id, CAST(coalesce(k.c, o.c, -1) AS INTEGER) AS dbscan_cluster FROM p LEFT JOIN numbered k ON k.a = customer_id
+ LEFT JOIN own o ON o.a = customer_id"""
+
+
 @query
 def ml_pca(spark: SparkSession, sf: str) -> DataFrame:
     d = _frame(spark, sf)
@@ -359,12 +370,7 @@ def fc_persist(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def sales_enriched(spark: SparkSession, sf: str) -> DataFrame:
     """The whole sales job over all rows, summarised per column."""
-    s = fx.sales(spark, sf).drop("l_shipdate")
-    keys = [k for k in fx.SALES_ORDER if k != "l_shipdate"]
-    s = s.groupBy(*keys, "date", "region", "product", "category", "customer_id").agg(
-        *[F.sum(c).alias(c) for c in ("sales_amount", "profit")]
-    )
-    done = enrich.enrich_sales(s, keys, numeric=fx.SALES_MEASURES)
+    done = enrich.enrich_sales(fx.sales(spark, sf), fx.SALES_ORDER, numeric=fx.SALES_MEASURES)
     return enrich.profile_columns(done.rows)
 
 
