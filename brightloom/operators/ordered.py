@@ -70,7 +70,7 @@ def with_halo(indexed: DataFrame, reach: int, chunk_rows: int = 8192) -> DataFra
     ``_own`` is false on the copies. A chunk is at least ``reach`` rows, so one copy is enough.
     """
     size = max(chunk_rows, reach)
-    chunk = F.floor(F.col("_rn") / size).cast("long")
+    chunk = F.expr(f"_rn div {size}")
     near_end = (F.col("_rn") % size) >= size - reach
     homes = F.when(near_end & F.lit(reach > 0), F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
     return (

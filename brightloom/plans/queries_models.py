@@ -10,7 +10,7 @@ from brightloom.operators.dbscan import dbscan
 from brightloom.operators.iforest import fit_forest, with_forest
 from brightloom.plans import enrich
 from brightloom.plans.rounding import r
-from brightloom.plans.sqltext import DAILY, FRAME, rnd, scaled
+from brightloom.plans.sqltext import DAILY, FRAME, SALES, rnd, scaled
 from brightloom.staging import stage, stage_path
 from brightloom.unions import union_all
 
@@ -374,6 +374,62 @@ def sales_enriched(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.profile_columns(done.rows)
 
 
+@query
+def sales_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The sales job without the forest, summarised per column, which SQL can follow."""
+    config = enrich.FeatureConfig(forest=False)
+    done = enrich.enrich_sales(fx.sales(spark, sf), fx.SALES_ORDER, numeric=fx.SALES_MEASURES, config=config)
+    p = enrich.profile_columns(done.rows)
+    return p.select("column", "n_values", r("mean", 3).alias("mean"), r("low", 3).alias("low"), r("high", 3).alias("high"))
+
+
+def _sales_features_sql() -> str:
+    order = ", ".join(fx.SALES_ORDER)
+    base, wide, flags = {}, {}, {}
+    for c in ("sales_amount", "quantity", "profit", "customer_id", "order_id", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"):
+        base[c] = c
+    for c in fx.SALES_MEASURES:
+        for k in (1, 7, 30):
+            wide[f"{c}_lag_{k}"] = f"lag({c}, {k}) OVER o"
+            wide[f"{c}_pct_change_{k}"] = f"{c} / nullif(lag({c}, {k}) OVER o, 0) - 1"
+        for w in (7, 30, 90):
+            for name, fn, least in (("mean", "avg", 1), ("std", "stddev_samp", 1), ("min", "min", 1), ("max", "max", 1), ("median", "median", 1),
+                                    ("skew", "skewness", 3), ("kurt", "kurtosis", 4)):
+                value = f"{fn}({c}) OVER w{w}"
+                wide[f"{c}_rolling_{w}_{name}"] = value if least == 1 else f"CASE WHEN count(*) OVER w{w} >= {least} THEN {value} END"
+        wide[f"{c}_zscore"] = f"({c} - (SELECT avg({c}) FROM sales)) / (SELECT stddev_pop({c}) FROM sales)"
+        wide[f"{c}_percentile"] = f"(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2) / (SELECT count({c}) FROM sales)"
+    d = "date"
+    wide |= {
+        "date_year": f"year({d})", "date_month": f"month({d})", "date_quarter": f"quarter({d})", "date_day": f"day({d})",
+        "date_dayofweek": f"isodow({d}) - 1", "date_dayofyear": f"dayofyear({d})", "date_week": f"weekofyear({d})",
+        "date_is_weekend": f"CAST(isodow({d}) >= 6 AS INTEGER)", "date_is_month_start": f"CAST(day({d}) = 1 AS INTEGER)",
+        "date_is_month_end": f"CAST(last_day({d}) = CAST({d} AS DATE) AS INTEGER)",
+        "date_is_quarter_start": f"CAST(day({d}) = 1 AND month({d}) % 3 = 1 AS INTEGER)",
+        "date_is_quarter_end": f"CAST(last_day({d}) = CAST({d} AS DATE) AND month({d}) % 3 = 0 AS INTEGER)",
+        "date_month_sin": f"sin(2 * pi() * month({d}) / 12)", "date_month_cos": f"cos(2 * pi() * month({d}) / 12)",
+        "date_day_sin": f"sin(2 * pi() * day({d}) / 31)", "date_day_cos": f"cos(2 * pi() * day({d}) / 31)",
+        "unit_price": "sales_amount / (quantity + 1e-8::DOUBLE)",
+        "high_value_sale": "CAST(sales_amount > (SELECT quantile_cont(sales_amount, 0.9) FROM sales) AS INTEGER)",
+        "profit_margin": "profit / (sales_amount + 1e-8::DOUBLE)", "profitable": "CAST(profit > 0 AS INTEGER)",
+        "region_avg_sales": "avg(sales_amount) OVER (PARTITION BY region)", "region_sales_std": "stddev_samp(sales_amount) OVER (PARTITION BY region)",
+        "region_sales_count": "count(sales_amount) OVER (PARTITION BY region)",
+    }
+    for c in (*fx.SALES_MEASURES, "unit_price", "profit_margin"):
+        a, b = f"(SELECT quantile_cont({c}, 0.25) FROM wide)", f"(SELECT quantile_cont({c}, 0.75) FROM wide)"
+        flags[f"{c}_outlier"] = f"CAST({c} < {a} - 1.5 * ({b} - {a}) OR {c} > {b} + 1.5 * ({b} - {a}) AS INTEGER)"
+    frames = ", ".join(f"w{w} AS (ORDER BY {order} ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)" for w in (7, 30, 90))
+    every = [*base, *wide, *flags]
+    profile = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS n_values, {rnd(f'avg({c})', 3)} AS mean, {rnd(f'CAST(min({c}) AS DOUBLE)', 3)} AS low, {rnd(f'CAST(max({c}) AS DOUBLE)', 3)} AS high FROM done" for c in every
+    )
+    return f"""{SALES.replace('sales AS', 'sales AS MATERIALIZED', 1)}, wide AS MATERIALIZED (SELECT {', '.join(base)}, {', '.join(f'{e} AS {c}' for c, e in wide.items())}
+ FROM sales WINDOW o AS (ORDER BY {order}), {frames}), done AS MATERIALIZED (SELECT *, {', '.join(f'{e} AS {c}' for c, e in flags.items())} FROM wide) {profile}"""
+
+
+SQL["sales_features"] = _sales_features_sql()
+
+
 @query
 def customers_enriched(spark: SparkSession, sf: str) -> DataFrame:
     """The whole customer job over all sales rows, summarised per column."""

@@ -46,7 +46,7 @@ def push_batches(df: DataFrame, order_by: Sequence[str], batch_rows: int = BATCH
     payload = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
     indexed = row_index(df, order_by)
     return indexed.select(
-        F.floor(F.col("_rn") / batch_rows).cast("long").alias("batch_id"), F.col("_rn").alias("row_number"), payload.alias("payload")
+        F.expr(f"_rn div {int(batch_rows)}").alias("batch_id"), F.col("_rn").alias("row_number"), payload.alias("payload")
     )
 
 
