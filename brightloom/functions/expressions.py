@@ -38,10 +38,24 @@ def per(a: Column, b: Column) -> Column:
     return a / (b + F.lit(EPSILON))
 
 
+def _clock(c: Column) -> Column:
+    """Seconds since midnight, with the fraction."""
+    return F.hour(c) * 3600 + F.minute(c) * 60 + F.date_part(F.lit("SECOND"), c)
+
+
+def seconds_between(later: Column, earlier: Column) -> Column:
+    """Seconds between two naive times; the session's time zone plays no part."""
+    return F.datediff(later, earlier).cast("long") * 86_400 + (_clock(later) - _clock(earlier))
+
+
 def whole_days(later: Column, earlier: Column) -> Column:
-    """Whole days between two instants (floor of the exact difference, not of calendar days)."""
-    micros = F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
-    return F.floor(micros / F.lit(86_400_000_000)).cast("long")
+    """Whole days between two times (floor of the exact difference, not of calendar days)."""
+    return F.floor(seconds_between(later, earlier) / F.lit(86_400)).cast("long")
+
+
+def time_literal(value, kind: T.DataType) -> Column:
+    """A collected date or time as a literal of its column's type; naive times are not shifted by a zone."""
+    return F.lit(str(value) if isinstance(kind, T.TimestampNTZType) and value is not None else value).cast(kind)
 
 
 def source_key(source: Column, params: Sequence[tuple[str, Column]]) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from brightloom.functions.expressions import time_literal
+
 
 def region_totals(sales: DataFrame) -> DataFrame:
     return sales.groupBy("region").agg(F.sum("sales_amount").alias("sales_amount"))
@@ -84,7 +86,7 @@ def rfm_points(customers: DataFrame) -> DataFrame:
 def usage_analytics(views: DataFrame, days: int = 7) -> DataFrame:
     """Per workbook: views, distinct users, views in the last days before the newest view, last access."""
     newest = views.agg(F.max("ts").alias("ts")).first()[0]
-    start = F.lit(newest).cast(views.schema["ts"].dataType) - F.expr(f"INTERVAL {days} DAYS")
+    start = time_literal(newest, views.schema["ts"].dataType) - F.expr(f"INTERVAL {days} DAYS")
     # users are counted once per (workbook, user), so a busy workbook is pre-aggregated by user
     per_user = views.groupBy("workbook_id", "user_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("ts") > start).alias("recent"), F.max("ts").alias("last")
