@@ -111,3 +111,9 @@ def test_holidays_enter_the_seasonal_model(spark, series):
     made = fm.forecast_seasonal(fm.fit_seasonal(lifted, holidays=days), 20, holidays=fm.union_all(days, ahead))
     pdf = made.filter("series_id = '0'").orderBy("ds").toPandas()
     assert pdf["yhat"][9] - pdf["yhat"][8] > 400
+
+
+def test_tree_search_scores_every_setting(spark, series):
+    one = series.filter("series_id = '0' AND ds < '2022-07-01'")
+    got = fm.tune_gbt(one, [{"trees": 2, "depth": 2, "horizons": (1, 45, 90)}, {"trees": 4, "depth": 3, "horizons": (1, 45, 90)}]).toPandas()
+    assert got["trial"].tolist() == [0, 1] and got["rmse"].between(1, 1000).all()
