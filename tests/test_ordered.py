@@ -119,3 +119,12 @@ def test_statistical_features_have_all_columns(spark):
     out = rolling.statistical_features(frame(spark, pdf).select("k", "x"), ["x"], ["k"])
     assert len(out.columns) == 2 + 21 + 6 + 2
     assert out.count() == len(pdf)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1  # lags and moving statistics share the chunks
+
+
+def test_chunks_stay_small_when_one_key_holds_most_rows(many_parts):
+    df = many_parts.range(3000).select("id", F.when(F.col("id") % 10 < 7, "hot").otherwise(F.col("id").cast("string")).alias("g"))
+    chunked = ordered.with_halo(ordered.row_index(df, ["id"], ["g"]), reach=20, chunk_rows=100)
+    sizes = chunked.groupBy("_chunk").count().agg(F.max("count")).first()[0]
+    assert sizes <= 120 and chunked.filter("_own").count() == 3000
