@@ -30,10 +30,10 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", compression: str = "snappy") -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
     spark = df.sparkSession
     guard(spark)
     path = stage_path(spark, label)
-    df.write.option("compression", "snappy").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
