@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightloom.fixtures import table
-from brightloom.llm import decontaminate, language, lines, mixing, simhash, urls
+from brightloom.llm import decontaminate, language, lines, mixing, simhash, substrings, urls
 from brightloom.staging import stage
 
 
@@ -19,6 +19,13 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = substrings.repeated_strings(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf, "pages"))
 
@@ -47,6 +54,7 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mix": op7_source_mix,
