@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightloom.fixtures import table
-from brightloom.llm import decontaminate, language, lines, mixing, simhash, substrings, urls
+from brightloom.llm import decontaminate, language, lines, merkle, mixing, secrets, simhash, substrings, tokens, urls
 from brightloom.staging import stage
 
 
@@ -19,6 +19,21 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.with_edits(table(spark, sf, "documents"))
+
+
+def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf, "documents"))
+    named = lambda keep: F.concat_ws(",", F.transform(keep, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"), number("hex").alias("n_hex"),
+        F.sha2(named(base), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = substrings.repeated_strings(table(spark, sf, "documents"))
     return found.select(
@@ -40,6 +55,10 @@ def op7_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken", F.when(F.col("copies") > 0, mixing.position(0)).alias("first_position"))
 
 
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf, "documents"))
+
+
 def op9_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out(F.col("doc_id")))
     model = language.fit(docs.filter(~F.col("held_out")))
@@ -54,10 +73,13 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_secret_scan": op3_secret_scan,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mix": op7_source_mix,
+    "op8_token_counts": op8_token_counts,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
 }
