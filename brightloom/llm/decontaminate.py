@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from brightloom.llm.common import texts_of
+from brightloom.llm.common import slices, texts_of
 
 #: words of a shard
 SHARD_WORDS = 1 << 20
@@ -86,7 +86,7 @@ class FMIndex:
         rank0 = text + len(ends)
         rank0[ends] = np.arange(len(ends))
         bits = max(1, int(rank0.max(initial=0) + 1).bit_length())
-        take = max(1, 62 // bits)
+        take = max(1, min(n, 62 // bits))
         key, alive = np.zeros(n, np.int64), np.ones(n, bool)
         for i in range(take):
             # nothing after an end counts: the end is unique already
@@ -163,8 +163,8 @@ class FMIndex:
         return out
 
 
-def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[tuple[int, int]], list[str], int]]:
-    """(spans, items, words hit) of each document, given as its words; spans are word ranges, end exclusive, merged."""
+def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[tuple[int, int]], list[str]]]:
+    """(spans, items) of each document, given as its words; spans are word ranges, end exclusive, merged."""
     stretches, origin = [], []
     lookup = phrases.symbols.get
     for d, words in enumerate(docs):
@@ -175,7 +175,7 @@ def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[t
             if b - a >= phrases.shortest:
                 stretches.append(ids[a:b])
                 origin.append((d, a))
-    out: list[tuple[list[tuple[int, int]], list[str], int]] = [([], [], 0) for _ in docs]
+    out: list[tuple[list[tuple[int, int]], list[str]]] = [([], []) for _ in docs]
     if not stretches:
         return out
     index = FMIndex(stretches, len(phrases.symbols))
@@ -197,73 +197,73 @@ def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[t
     doc, begin, end, phrase = doc[order], begin[order], (begin + size)[order], phrase[order]
     edge = np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)] if len(doc) else [0]
     for a, b in zip(edge[:-1], edge[1:]):
-        spans: list[list[int]] = []
-        for s, e in zip(begin[a:b].tolist(), end[a:b].tolist()):
-            if spans and s <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], e)
-            else:
-                spans.append([s, e])
         items = sorted({i for p in set(phrase[a:b].tolist()) for i in phrases.items[p]})
-        out[int(doc[a])] = ([tuple(x) for x in spans], items, sum(e - s for s, e in spans))
+        out[int(doc[a])] = (_merged(list(zip(begin[a:b].tolist(), end[a:b].tolist()))), items)
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> list[list[tuple[object, bytes]]]:
-    """The benchmark in blocks of at most ``most`` bytes of text. One block, unless the table is larger than that."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> Iterator[list[tuple[str | None, bytes]]]:
+    """The benchmark in blocks of about ``most`` bytes of text: one, unless the table is larger. The size is counted first."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    if total > most:
-        raise ValueError(f"the benchmark holds {total} bytes; give it in tables of at most {most} and merge their spans")
-    return [(r[0], r[1].encode()) for r in rows.collect()]
+    blocks = max(1, -(-total // most))
+    for k in range(blocks):
+        yield [(r[0], r[1].encode()) for r in rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()]
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[list[int]] = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
+    return [(s, e) for s, e in out]
 
 
 def find_phrases(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    window: int = 10, max_benchmark_bytes: int = 64 << 20, cleaned: str | None = None, gap: bytes = b" ",
+    window: int = 10, max_benchmark_bytes: int = 64 << 20,
 ) -> DataFrame:
-    """``docs`` with n_words, n_hit, spans (word ranges) and items (ids as strings, sorted).
+    """``docs`` with n_words, n_hit, spans (word ranges, end exclusive) and items (ids as strings, sorted).
 
-    With ``cleaned``, a column of that name holds the text without the bytes from the first to the last word of each span, and
-    the spans' ids; ``gap`` stands in their place. Input columns of these names are replaced, all others stay.
+    Input columns of these names are replaced, all others stay.
     """
-    spark = docs.sparkSession
-    phrases = spark.sparkContext.broadcast(Phrases(_blocks(benchmark, item_col, item_text_col, max_benchmark_bytes), window))
-    at = docs.columns.index(text_col)
-    added = ["n_words", "n_hit", "spans", "items"] + [cleaned] * bool(cleaned)
+    added = ["n_words", "n_hit", "spans", "items"]
+    found = docs.drop(*[c for c in added if c != text_col])
+    for k, block in enumerate(_blocks(benchmark, item_col, item_text_col, max_benchmark_bytes)):
+        found = _search(found, Phrases(block, window), text_col, more=k > 0)
+    return found
+
+
+def _search(docs: DataFrame, phrases: Phrases, text_col: str, more: bool) -> DataFrame:
+    """One block of the benchmark; with ``more``, its finds are added to those that ``docs`` already carries."""
+    shared = docs.sparkSession.sparkContext.broadcast(phrases)
+    added = ["n_words", "n_hit", "spans", "items"]
     kept = [c for c in docs.columns if c not in added]
+    at = docs.columns.index(text_col)
     schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept]
-        + ["n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<string>"]
-        + [f"`{cleaned}` string"] * bool(cleaned)
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept] + ["n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<string>"]
     )
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
+    def shard(rows: pa.RecordBatch, words: list[list[bytes]]) -> pa.RecordBatch:
+        found = search_shard(words, shared.value)
+        if more:
+            before = zip(rows.column(rows.schema.get_field_index("spans")).to_pylist(), rows.column(rows.schema.get_field_index("items")).to_pylist())
+            found = [(_merged([*s, *((x["start"], x["end"]) for x in old)]), sorted({*i, *items})) for (s, i), (old, items) in zip(found, before)]
+        values = [
+            pa.array(map(len, words), pa.int64()), pa.array([sum(e - s for s, e in f[0]) for f in found], pa.int64()),
+            pa.array([[{"start": s, "end": e} for s, e in f[0]] for f in found], spans_type), pa.array([f[1] for f in found], pa.list_(pa.string())),
+        ]
+        return pa.RecordBatch.from_arrays([*(rows.column(rows.schema.get_field_index(c)) for c in kept), *values], [*kept, *added])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p: Phrases = phrases.value
         for b in batches:
-            lo, held, total = 0, [], 0
-
-            def shard(lo: int, held: list[list[bytes]]) -> pa.RecordBatch:
-                found = search_shard(held, p)
-                rows = b.slice(lo, len(held))
-                more = [
-                    pa.array([len(w) for w in held], pa.int64()), pa.array([f[2] for f in found], pa.int64()),
-                    pa.array([[{"start": s, "end": e} for s, e in f[0]] for f in found], spans_type), pa.array([f[1] for f in found], pa.list_(pa.string())),
-                ]
-                if cleaned:
-                    texts = texts_of(rows.column(at))
-                    more.append(pa.array([cut(t, f[0], gap) if f[0] else t for t, f in zip(texts, found)], pa.binary()).cast(pa.string()))
-                return pa.RecordBatch.from_arrays([*(rows.column(rows.schema.get_field_index(c)) for c in kept), *more], [*kept, *added])
-
-            for text in texts_of(b.column(at)):
-                words = words_of(text)
-                if held and total + len(words) > SHARD_WORDS:
-                    yield shard(lo, held)
-                    lo, held, total = lo + len(held), [], 0
-                held.append(words)
-                total += len(words)
-            if held:
-                yield shard(lo, held)
+            lo = 0
+            for part in slices(map(words_of, texts_of(b.column(at))), len, SHARD_WORDS):
+                yield shard(b.slice(lo, len(part)), part)
+                lo += len(part)
 
     return docs.mapInArrow(run, schema)
 
@@ -280,7 +280,17 @@ def cut(text: bytes, spans: list[tuple[int, int]], gap: bytes = b" ") -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the benchmark's passages: the columns of ``docs``, with the removal spans cut out of the text."""
-    found = find_phrases(docs, benchmark, text_col, cleaned="__cleaned", **options)
-    return found.select(*[F.col("__cleaned").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", gap: str = " ", **options) -> DataFrame:
+    """``docs`` without the benchmark's passages: the same columns, with ``gap`` in place of each removal span of the text."""
+    packed = docs.select(F.col(text_col).alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("_row"))
+    found = find_phrases(packed, benchmark, "_text", **options).select("_text", "_row", "spans")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans = b.column(2).to_pylist()
+            texts = [cut(t, [(x["start"], x["end"]) for x in s], gap.encode()) if s else t for t, s in zip(texts_of(b.column(0)), spans)]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).cast(pa.string()), b.column(1)], ["_text", "_row"])
+
+    fields = {f.name: f.dataType.simpleString() for f in found.schema}
+    cleaned = found.mapInArrow(clean, f"_text string, _row {fields['_row']}")
+    return cleaned.select(*[F.col("_text").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])

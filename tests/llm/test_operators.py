@@ -1,0 +1,407 @@
+import hashlib
+import random
+import zlib
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from brightloom.llm import decontaminate, language, lines, merkle, mixing, secrets, simhash, substrings, tokens, urls
+from conftest import prose
+
+
+def by_text(df, *cols):
+    return sorted([tuple(r) for r in df.select(*cols).collect()], key=str)
+
+
+# --- 1 decontamination
+
+
+@pytest.fixture(scope="module")
+def items(corpus):
+    text = dict(corpus)
+    words = text[64].split()
+    return [(7, " ".join(words[100:130])), (70, " ".join(words[110:125]).upper()), (8, " ".join(text[1].split()[:4])), (9, None), (10, " "), (None, text[2]), (7, " ".join(words[500:512])), (11, "ñ")]
+
+
+def test_decontamination_equals_brute_force(spark, docs, corpus, items):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_phrases(docs, bench).select("doc_id", "n_words", "n_hit", F.size("items"), F.sha2(F.concat_ws(",", "items"), 256))
+    got = sorted(map(tuple, found.collect()), key=str)
+    want = sorted([(d, *brute.contamination([(d, t)], items)[d]) for d, t in corpus], key=str)
+    assert got == want
+    assert sum(r[2] for r in got) > 60
+
+
+def test_decontamination_in_blocks_and_small_shards(spark, docs, items, monkeypatch):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = by_text(decontaminate.find_phrases(docs, bench), "doc_id", "n_hit", "spans", "items")
+    assert by_text(decontaminate.find_phrases(docs, bench, max_benchmark_bytes=1000), "doc_id", "n_hit", "spans", "items") == whole
+
+
+def test_decontamination_cuts_passages(spark, no_docs):
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    df = spark.createDataFrame([(1, "Zero, ONE two; three. four", 5), (2, None, 6), (3, "one two", 7)], "doc_id long, text string, spans int")
+    assert by_text(decontaminate.decontaminate(df, bench), "doc_id", "text", "spans") == [(1, "Zero,  . four", 5), (2, None, 6), (3, "one two", 7)]
+    assert decontaminate.decontaminate(no_docs, bench).count() == 0
+    assert decontaminate.find_phrases(df, bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
+
+
+def test_fm_index_finds_all_phrases():
+    rng = random.Random(1)
+    import numpy as np
+
+    stretches = [np.array([rng.randint(1, 3) for _ in range(rng.randint(1, 60))]) for _ in range(40)] + [np.array([1] * 50), np.array([1] * 50)]
+    index = decontaminate.FMIndex(stretches, 3)
+    for n in (1, 2, 5, 10):
+        for _ in range(30):
+            p = np.array([rng.randint(1, 3) for _ in range(n)])
+            lo, hi = index.search(p[None, :])
+            got = sorted(index.locate(np.arange(lo[0], hi[0])).tolist())
+            want = [i for i in range(index.n - n + 1) if (index.text[i : i + n] == p).all()]
+            assert got == want
+
+
+# --- 2 fingerprints
+
+
+def test_edits_and_fingerprints(docs, corpus):
+    order = sorted(corpus, key=lambda r: (-(1 << 63) if r[0] is None else r[0], hashlib.md5((r[1] or "").encode()).hexdigest()), reverse=True)
+    want = []
+    for i, (d, t) in enumerate(order):
+        t, n = t or "", order[(i + 1) % len(order)][1] or ""
+        k = len(t) // 3
+        want.append((d, len(t), brute.sha(t[: len(t) - k] + n[:k]), merkle.fingerprint(t)))
+    found = merkle.with_edits(docs)
+    assert by_text(found, "doc_id", "n_chars", "edited_sha256", "fingerprint") == sorted(want, key=str)
+    for r in found.collect():
+        assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1 and (r.near_edited == 1) == (r.fingerprint == r.edited_fingerprint)
+
+
+def test_edits_of_tiny_tables(spark, no_docs):
+    assert merkle.with_edits(no_docs).count() == 0
+    one = spark.createDataFrame([(5, "abcdef")], "doc_id long, text string")
+    assert by_text(merkle.with_edits(one), "doc_id", "edited_sha256") == [(5, brute.sha("abcdab"))]
+    same = spark.createDataFrame([(5, "abcdef"), (5, "abcdef"), (4, None)], "doc_id long, text string")
+    assert [r.near_next for r in merkle.with_edits(same).orderBy(F.desc("near_next")).collect()] == [1.0, 0.0, 0.0]
+
+
+def test_merkle_locates_edits():
+    a = "\n".join(f"paragraph {i} " + "word " * 40 for i in range(4)) + "\n\n" + "last section " * 20
+    b = a.replace("paragraph 2", "paragraph two")
+    fa, fb = merkle.fingerprint(a), merkle.fingerprint(b)
+    assert merkle.changed(fa, fb) == [(0, 2)] and merkle.changed(fa, fa) == []
+    assert 0.9 < merkle.likeness(fa, fb) < 1 == merkle.likeness(fa, fa)
+    assert merkle.fingerprint("") != merkle.fingerprint(" ")
+
+
+# --- 3 secrets
+
+
+def test_base_secrets_equal_regular_expressions(spark):
+    rng = random.Random(2)
+    parts = ["password", "PASSWD", "secret", "Token", "api_key", "apikey", "AKIA", '"', "'", " ", ":", "=", "ab12", "ABCDEF0123456789", "0123456789abcdef", "ñ", "tokentoken=", "ſecret=abcdefg ", "Kelvin toKen: x.y-z/1"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(800)] + [None, "", "f" * 24, "token=abcdef"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, spans string")
+    got = {r.doc_id: [tuple(s) for s in r.spans if s.kind in ("assign", "access", "hex")] for r in secrets.find_secrets(df).collect()}
+    assert got == {i: brute.secrets(t) for i, t in enumerate(texts)}
+
+
+def test_checked_secrets(spark, no_docs):
+    body = "0123456789ABCDEFGHIJabcdefghij"
+    good = "ghp_" + body + secrets.crc62(body.encode()).decode()
+    texts = [f"é {good}.", f"x {good[:-1]}! ", "card number: 4111 1111 1111 1111", "card: 4111 1111 1111 1112"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(df).collect()}
+    assert got == {0: [("github", 2, 42)], 1: [], 2: [("card", 13, 32)], 3: []}
+    assert secrets.find_secrets(no_docs).count() == 0
+
+
+# --- 4 substrings
+
+
+def removed(df):
+    out = substrings.repeated_strings(df).select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("int"), F.size("starts"), F.sha2("kept", 256))
+    return sorted(map(tuple, out.collect()), key=str)
+
+
+def test_substrings_equal_brute_force(docs, corpus, monkeypatch):
+    want = brute.repeated(corpus)
+    assert removed(docs) == want and sum(r[2] for r in want) > 500
+
+
+def test_substrings_over_blocks_and_groups(spark, monkeypatch):
+    rng = random.Random(3)
+    shared = prose(rng, 60)
+    rows = [(i * 7, prose(rng, rng.randint(0, 80)) + (shared[rng.randint(0, 100) : rng.randint(100, 300)] if i % 3 else "") + prose(rng, 5)) for i in range(60)]
+    rows += [(3, "ab" * 400), (2, "ab" * 300), (1, "ab" * 24), (3, "ab" * 400), (None, shared), (None, shared)]
+    for name, size in (("BLOCK_BYTES", 256), ("SLICE_BYTES", 2000), ("GROUP_BYTES", 1500)):
+        monkeypatch.setattr(substrings, name, size)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert removed(df) == brute.repeated(rows)
+
+
+def test_substrings_of_empty_tables(spark, no_docs):
+    assert removed(no_docs) == []
+    assert removed(spark.createDataFrame([(1, None), (2, ""), (3, "short")], "doc_id long, text string")) == brute.repeated([(1, None), (2, ""), (3, "short")])
+
+
+# --- 5 URLs
+
+
+def test_url_parts_and_rules(spark, no_docs):
+    table = [
+        ("http://A.Example.ORG/es/x?q", "a.example.org", "/es/x", "example.org/es/", "block"), ("https://example.org/en/12", "example.org", "/en/12", "example.org/en/1", "block"),
+        ("x://notexample.org/en/1", "notexample.org", "/en/1", "org/", "allow"), ("http://b.com/fr/#a", "b.com", "/fr/", "com/fr/", "allow"), ("http://b.com/de/a://c", "b.com", "/de/a://c", "com/de/", "block"),
+        ("http://org", "org", "", None, None), ("http://x.net?y=/fr/", "x.net", "", None, None), (None, "", "", None, None), ("no url", "", "", None, None), ("://com/fr/", "com", "/fr/", "com/fr/", "allow"), ("", "", "", None, None),
+    ]
+    df = spark.createDataFrame([(i, r[0], "h", 1) for i, r in enumerate(table)], "page_id long, url string, host string, score int")
+    got = {r.page_id: r for r in urls.filter_urls(df).collect()}
+    for i, (_, host, path, rule, verdict) in enumerate(table):
+        r = got[i]
+        assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict == (verdict or r.verdict) and r.verdict in ("allow", "block")
+    assert urls.filter_urls(df.limit(0)).count() == 0
+    assert [r.verdict for r in urls.filter_urls(df.filter("page_id = 5")).collect()] == ["allow"]
+
+
+def test_url_model_separates(spark):
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choice("abcdef") for _ in range(6))
+    rows = [(i, f"http://{name()}.com/{'de' if i % 2 else 'fr'}/{name()}") for i in range(300)] + [(1000 + i, f"http://{name()}.net/{'de' if i % 2 else 'fr'}/{name()}") for i in range(100)]
+    got = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string")).filter("page_id >= 1000").collect()
+    assert sum(r.verdict == ("block" if r.page_id % 2 else "allow") for r in got) >= 95
+
+
+# --- 6 lines
+
+
+def test_automaton_is_levenshtein(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(500):
+        a = [rng.choice("abñ") for _ in range(rng.randint(1, 12))]
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            p, what = rng.randint(0, len(b)), rng.randint(0, 2)
+            b[p : p + (what < 2)] = [] if what == 0 else [rng.choice("abñ")]
+        rows.append(("".join(a), "".join(b) or "a"))
+    df = spark.createDataFrame(rows, "a string, b string")
+    for most in (1, 2, 3):
+        assert df.filter(lines.within_edits("a", "b", most) != (F.levenshtein("a", "b") <= most)).count() == 0
+
+
+def line_rows(rng):
+    base = ["".join(rng.choice("abcde ") for _ in range(rng.randint(20, 40))) for _ in range(25)]
+    rows = []
+    for i in range(60):
+        text = []
+        for _ in range(rng.randint(0, 6)):
+            line = list(rng.choice(base + ["short", "", "  "]))
+            for _ in range(rng.choice([0, 0, 1, 2, 3])):
+                p = rng.randint(0, len(line))
+                line[p : p + rng.randint(0, 1)] = rng.choice(["", "x", "ñ"])
+            text.append("".join(line))
+        rows.append((i, "\n".join(text)))
+    return rows
+
+
+def test_lines_equal_brute_force(spark):
+    rows = line_rows(random.Random(7)) + [(None, "only line of a row without id"), (90, None), (91, ""), (92, "a\r\n\nb\r\n")]
+    df = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], "doc_id long, text string, _line string, _no int").repartition(4)
+    want = brute.kept_lines(rows)
+    assert by_text(lines.dedup_lines(df), "doc_id", "text", "_line", "_no") == sorted([(i, t, "k", 1) for (i, _), t in zip(rows, want)], key=str)
+    counts = {r.doc_id: (r.n_lines, r.n_kept) for r in lines.count_lines(df).filter("doc_id is not null").collect()}
+    assert counts[90] == (0, 0) and counts[91] == (1, 1) and counts[92] == (4, 4)
+    kept = {i: sum(1 for _ in t.split("\n")) for (i, o), t in zip(rows, want) if i is not None and i < 90 and t}
+    assert all(counts[i][1] == n for i, n in kept.items())
+
+
+def test_lines_of_repeated_rows_and_empty_tables(spark, no_docs):
+    df = spark.createDataFrame([(1, "one line that is long enough"), (1, "one line that is long enough"), (2, "one line that is long enough")], "doc_id long, text string")
+    assert by_text(lines.dedup_lines(df), "doc_id", "text") == [(1, "one line that is long enough")] * 2 + [(2, "")]
+    assert lines.dedup_lines(no_docs).count() == 0 and lines.dedup_lines(no_docs).columns == no_docs.columns
+
+
+# --- 7 mixing
+
+
+def shares(sizes, weights=(1, 2, 3), most=3):
+    """Targets by repeated capping; sizes in source order."""
+    total, w = sum(sizes), [weights[i % len(weights)] for i in range(len(sizes))]
+    capped = set()
+    while True:
+        rest = total - sum(most * sizes[i] for i in capped)
+        left = sum(w[i] for i in range(len(sizes)) if i not in capped)
+        target = [most * s if i in capped else w[i] * rest / left for i, s in enumerate(sizes)]
+        above = {i for i in range(len(sizes)) if i not in capped and target[i] > most * sizes[i]}
+        if not above:
+            return target
+        capped |= above
+
+
+def test_mix_targets_and_words_taken(spark):
+    rng = random.Random(8)
+    rows = []
+    for s, n in (("b", 400), ("a", 30), (None, 50), ("ä", 20), ("Z", 3), ("e", 1)):
+        rows += [(len(rows) + i, " ".join("w" * rng.randint(1, 3) for _ in range(rng.randint(1, 60))), s) for i in range(n)]
+    rows += [(9000, None, "b"), (9001, "", "a"), (9002, "x", "void"), (9003, " ", "empty")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = mixing.with_size(df).select("doc_id", "source", "size")
+    got = mixing.plan_mix(sizes, sizes).toPandas()
+    per = {}
+    for d, t, s in rows:
+        per[s] = per.get(s, 0) + len((t or "").split())
+    names = sorted([s for s in per if s is not None]) + [None]
+    want = dict(zip(names, shares([per[s] for s in names])))
+    for s in names:
+        mine = got[got.source.isna()] if s is None else got[got.source == s]
+        assert mine.source_size.iloc[0] == per[s] and abs(mine.target.iloc[0] - want[s]) < 1e-6
+        assert mine.taken.sum() <= want[s] + 1e-6 and (mine.taken <= 3 * mine["size"]).all()
+        if per[s] > 500:
+            assert mine.taken.sum() >= 0.97 * want[s]
+    again = mixing.plan_mix(sizes.repartition(7), sizes.repartition(3)).toPandas()
+    assert sorted(zip(got.doc_id, got.taken)) == sorted(zip(again.doc_id, again.taken))
+
+
+def test_mix_orders_copies(spark, docs, no_docs):
+    out = mixing.mix(docs).collect()
+    positions = [r.position for r in out]
+    assert positions == sorted(positions) and all(0 <= p <= 1 for p in positions)
+    assert out[0].asDict().keys() == {*docs.columns, "copy", "position"} and {r["size"] for r in out} == {99}
+    assert mixing.mix(no_docs).count() == 0
+
+
+# --- 8 tokens
+
+
+def test_token_counts_equal_greedy_matching(spark, no_docs):
+    rng = random.Random(9)
+    entries = {tuple(rng.choice(b"abc") for _ in range(rng.randint(1, 5))) + ((tokens.END,) if rng.random() < 0.4 else ()) for _ in range(60)}
+    automaton = tokens.Automaton(entries)
+    known = entries | {(b,) for b in range(256)}
+
+    def greedy(word):
+        rest, n = (*word, tokens.END), 0
+        while rest and rest != (tokens.END,):
+            size = next(k for k in range(len(rest), 0, -1) if rest[:k] in known)
+            rest, n = rest[size:], n + 1
+        return n
+
+    for _ in range(3000):
+        word = bytes(rng.choice(b"abcd") for _ in range(rng.randint(1, 25)))
+        assert automaton.count(word) == greedy(word)
+    df = spark.createDataFrame([(1, "The river, the THE"), (2, None), (3, ""), (4, "漢字"), (4, "漢字")], "doc_id long, text string")
+    got = by_text(tokens.count_tokens(df), "doc_id", "n_words")
+    assert got == [(1, 5), (2, 0), (3, 0), (4, 1), (4, 1)]
+    assert tokens.count_tokens(no_docs).count() == 0
+
+
+# --- 9 language
+
+
+def language_rows():
+    rng = random.Random(10)
+    vocab = {"aa": "dos ojo queso mira cielo tarde noche".split(), "bb": "wald haus sturm nacht über straße zug".split(), "ru": "дом река ночь день свет".split()}
+    rows = [(i, " ".join(rng.choice(vocab[lang]) + rng.choice(["", "a", "en"] if lang != "ru" else ["", "и"]) for _ in range(rng.randint(3, 40))), lang) for i, lang in enumerate(rng.choice(list(vocab)) for _ in range(300))]
+    return vocab, rows
+
+
+def test_language_is_learned_and_spans_are_found(spark):
+    vocab, rows = language_rows()
+    df = spark.createDataFrame(rows + [(900, "abc", None), (901, None, "aa")], "doc_id long, text string, lang string")
+    model = language.fit(df)
+    assert model.langs == ["aa", "bb", "ru"]
+    mixed = " ".join(vocab["aa"] * 6 + vocab["bb"] * 3 + vocab["ru"] * 2)
+    texts = [(1, mixed, 5), (2, None, 5), (3, "", 5), (4, "123 ...", 5), (5, "漢字", 5), (6, " ".join(vocab["ru"]), 5), (6, " ".join(vocab["ru"]), 5), (7, " ".join(vocab["bb"]) * 3000, 5)]
+    got = {r.doc_id: r for r in language.predict(spark.createDataFrame(texts, "doc_id long, text string, n int"), model).collect()}
+    assert got[1].lang_pred == "aa" and [s.lang for s in got[1].spans] == ["aa", "bb", "ru"] and [s.words for s in got[1].spans][0] in range(40, 45)
+    assert [got[i].lang_pred for i in (2, 3, 4, 6, 7)] == ["und", "und", "und", "ru", "bb"]
+    assert got[5].lang_pred in model.langs and got[5].score == 0 and got[2].score == 0 and got[6].score == 1 and got[6].n == 5
+    assert all(abs(len(t.split()) - sum(s.words for s in got[i].spans)) == 0 for i, t, _ in texts if i in (1, 6))
+
+
+def test_language_without_labels_and_empty(spark, no_docs):
+    df = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
+    assert [(r.lang_pred, r.score) for r in language.predict(df, language.fit(df)).collect()] == [("und", 0.0)]
+    assert language.keep_known(no_docs).count() == 0 and language.keep_known(no_docs).columns == no_docs.columns
+
+
+def test_held_out_is_a_crc(spark):
+    df = spark.range(100).select(language.held_out(F.col("id")).alias("h"), "id")
+    assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in df.collect())
+
+
+def test_viterbi_equals_dynamic_programme():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    table = rng.normal(size=(50, 3)).astype(np.float32)
+    lengths = np.array([0, 7, 30, 1, 12])
+    rows = rng.integers(0, 50, lengths.sum())
+    label = language.viterbi(rows, lengths, table, 1.5)
+    cost = lambda path, e: sum(e[i, p] for i, p in enumerate(path)) - 1.5 * sum(a != b for a, b in zip(path, path[1:]))
+    at = 0
+    for n in lengths:
+        e = table[rows[at : at + n]]
+        best = np.zeros(3)
+        for i in range(n):
+            best = np.array([max(best[m] - 1.5 * (m != k and i > 0) for m in range(3)) for k in range(3)]) + e[i]
+        if n:
+            assert abs(cost(label[at : at + n].tolist(), e) - best.max()) < 1e-3
+        at += n
+
+
+# --- 10 SimHash
+
+
+def test_simhash_equals_brute_force(docs, corpus):
+    rows = [(i, t) for i, t in corpus if i is not None]
+    fps = [brute.simhash(t) for _, t in rows]
+    ids = [i for i, _ in rows]
+    groups = {}
+    for i, c in zip(ids, brute.components(fps)):
+        groups.setdefault(c, []).append(i)
+    want = {i: min(g) for g in groups.values() for i in g}
+    got = {r.doc_id: r for r in simhash.near_duplicates(docs.filter("doc_id is not null")).collect()}
+    assert {i: r.component_id for i, r in got.items()} == want
+    assert all(r.fp % (1 << 64) == brute.simhash(dict(rows)[i]) for i, r in got.items())
+
+
+@pytest.mark.parametrize("block", [4096, 3])
+def test_grid_links_all_near_fingerprints(spark, block):
+    rng = random.Random(11)
+    fps = []
+    for _ in range(40):
+        x = rng.getrandbits(64)
+        fps.append(x)
+        for _ in range(rng.randint(0, 8)):
+            x = rng.choice(fps[-4:])
+            for b in rng.sample(range(64), rng.randint(1, 5)):
+                x ^= 1 << b
+            fps.append(x)
+    fps = sorted(set(fps))
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    links = simhash.linked_pairs(spark.createDataFrame([(x,) for x in signed], "fp long"), block=block).collect()
+    parent = {x: x for x in signed}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for u, v in links:
+        parent[find(u)] = find(v)
+    want = brute.components(fps)
+    for i in range(len(fps)):
+        for j in range(i):
+            assert (find(signed[i]) == find(signed[j])) == (want[i] == want[j])
+
+
+def test_keep_first_keeps_one_row_of_each_group(spark, docs, no_docs):
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    near = simhash.near_duplicates(docs)
+    assert kept.count() == near.select("component_id", "fp").distinct().count() - (near.select("fp").distinct().count() - near.filter("is_first").select("doc_id", "digest").distinct().count())
+    twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "c d"), (None, "a b"), (None, None), (2, "")], "doc_id long, text string")
+    assert by_text(simhash.keep_first(twice), "doc_id", "text") == [(1, "a b"), (1, "c d"), (2, "")]
+    assert simhash.keep_first(no_docs).count() == 0
