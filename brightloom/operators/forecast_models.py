@@ -6,7 +6,9 @@ handed to Python are single daily series (one row per calendar day at most).
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -58,7 +60,24 @@ def fit_ar(series: DataFrame, lookback: int = LOOKBACK, alpha: float = 1.0) -> D
     return series.select("series_id", "ds", "y").groupBy("series_id").applyInPandas(fit, AR_MODEL)
 
 
-def forecast_ar(models: DataFrame, horizon: int = HORIZON, level: float = 0.95) -> DataFrame:
+def _recurse(coef: np.ndarray, recent: Sequence[float], steps: int) -> np.ndarray:
+    """The next ``steps`` scaled values, each fed back; a model that runs away is left to (its error then says so)."""
+    known = np.empty(len(recent) + steps)
+    known[: len(recent)] = recent
+    with np.errstate(over="ignore", invalid="ignore"):
+        for i in range(steps):
+            known[len(recent) + i] = coef[0] + coef[1:] @ known[i : len(recent) + i]
+    return known[len(recent) :]
+
+
+def with_horizon(models: DataFrame, horizon: int | DataFrame) -> DataFrame:
+    """Add ``horizon``: one number for all series, or (series_id, horizon) rows, a row per series."""
+    if isinstance(horizon, DataFrame):
+        return models.join(horizon.select("series_id", F.col("horizon").cast("int").alias("horizon")), "series_id")
+    return models.withColumn("horizon", F.lit(int(horizon)))
+
+
+def forecast_ar(models: DataFrame, horizon: int | DataFrame = HORIZON, level: float = 0.95) -> DataFrame:
     """Recursive forecast of every model row; bounds are the training residuals' deviation times z."""
     z = Z[level]
 
@@ -66,21 +85,15 @@ def forecast_ar(models: DataFrame, horizon: int = HORIZON, level: float = 0.95)
         for pdf in batches:
             parts = []
             for m in pdf.itertuples(index=False):
-                recent, coef = list(m.recent), np.asarray(m.coef)
-                values = []
-                for _ in range(horizon):
-                    nxt = float(np.clip(coef[0] + coef[1:] @ np.asarray(recent), -1.0, 2.0))
-                    recent = recent[1:] + [nxt]
-                    values.append(nxt * m.width + m.low)
-                yhat = np.asarray(values)
-                days = pd.date_range(pd.Timestamp(m.last_ds) + pd.Timedelta(days=1), periods=horizon).date
+                yhat = _recurse(np.asarray(m.coef), m.recent, m.horizon) * m.width + m.low
+                days = pd.date_range(pd.Timestamp(m.last_ds) + pd.Timedelta(days=1), periods=m.horizon).date
                 parts.append(pd.DataFrame({
                     "series_id": m.series_id, "model": "ar", "ds": days, "yhat": yhat,
                     "lower": yhat - z * m.sigma, "upper": yhat + z * m.sigma,
                 }))
             yield pd.concat(parts) if parts else pd.DataFrame(columns=["series_id", "model", "ds", "yhat", "lower", "upper"])
 
-    return models.mapInPandas(run, "series_id string, model string, ds date, yhat double, lower double, upper double")
+    return with_horizon(models, horizon).mapInPandas(run, "series_id string, model string, ds date, yhat double, lower double, upper double")
 
 
 # --- seasonal ridge -------------------------------------------------------------------------------
@@ -132,10 +145,10 @@ def fit_seasonal(series: DataFrame, alpha: float = 1.0, holidays: DataFrame | No
 
 
 def forecast_seasonal(
-    models: DataFrame, horizon: int = HORIZON, level: float = 0.95, holidays: DataFrame | None = None
+    models: DataFrame, horizon: int | DataFrame = HORIZON, level: float = 0.95, holidays: DataFrame | None = None
 ) -> DataFrame:
-    days = F.explode(F.sequence(F.date_add("last_ds", 1), F.date_add("last_ds", horizon)))
-    frame = _seasonal_design(models.withColumn("ds", days), holidays)
+    days = F.explode(F.sequence(F.date_add("last_ds", 1), F.date_add("last_ds", F.col("horizon"))))
+    frame = _seasonal_design(with_horizon(models, horizon).withColumn("ds", days), holidays)
     dot = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
     half = F.col("sigma") * F.lit(Z[level])
     return frame.select("series_id", F.lit("seasonal").alias("model"), "ds", dot.alias("yhat"), half.alias("h")).select(
@@ -145,19 +158,21 @@ def forecast_seasonal(
 
 # --- boosted trees --------------------------------------------------------------------------------
 
-GBT_HORIZONS = (1, 2, 3, 5, 7, 14, 21, 30, 45, 60, 75, 90)
 _ORIGIN = [f"lag_{k}" for k in (1, 7, 30)] + [f"rolling_{s}_{w}" for w in (7, 14, 30) for s in ("mean", "std", "min", "max")]
 _TARGET_CALENDAR = list(FORECAST_CALENDAR)
 GBT_FEATURES = ["level_now", *[f"{c}_rel" for c in _ORIGIN], "horizon", *_TARGET_CALENDAR]
 
 
 def _origins(series: DataFrame) -> DataFrame:
-    """Features known at the end of each day, relative to the series mean so that series can be pooled."""
+    """Features known at the end of each day, relative to the series' mean absolute value so that series can be pooled.
+
+    A series of zeros alone has scale 1.
+    """
     base = forecast_features(series, include_current=True).drop(*_TARGET_CALENDAR).dropna(subset=["y", *_ORIGIN])
-    mean = F.avg("y").over(W.partitionBy("series_id"))
-    base = base.withColumn("series_mean", mean).filter("series_mean <> 0")
-    rel = {f"{c}_rel": F.col(c) / F.col("series_mean") for c in _ORIGIN}
-    return base.withColumns({**rel, "level_now": F.col("y") / F.col("series_mean")}).withColumnRenamed("ds", "origin")
+    scale = F.avg(F.abs("y")).over(W.partitionBy("series_id"))
+    base = base.withColumn("series_scale", F.when(scale == 0, F.lit(1.0)).otherwise(scale))
+    rel = {f"{c}_rel": F.col(c) / F.col("series_scale") for c in _ORIGIN}
+    return base.withColumns({**rel, "level_now": F.col("y") / F.col("series_scale")}).withColumnRenamed("ds", "origin")
 
 
 def _at_horizon(origins: DataFrame, horizons: Column) -> DataFrame:
@@ -165,30 +180,31 @@ def _at_horizon(origins: DataFrame, horizons: Column) -> DataFrame:
     return ahead.withColumns(forecast_calendar("ds"))
 
 
-def gbt_training(series: DataFrame, horizons: Sequence[int] = GBT_HORIZONS) -> DataFrame:
+def gbt_training(series: DataFrame, horizons: Sequence[int] = range(1, HORIZON + 1)) -> DataFrame:
     """Direct multi-horizon rows: features at the origin, the horizon, and the value that many days ahead."""
     rows = _at_horizon(_origins(series), F.array(*[F.lit(h) for h in horizons]))
     later = series.select("series_id", "ds", F.col("y").alias("y_later"))
-    return rows.join(later, ["series_id", "ds"]).withColumn("label", F.col("y_later") / F.col("series_mean"))
+    return rows.join(later, ["series_id", "ds"]).withColumn("label", F.col("y_later") / F.col("series_scale"))
 
 
 def fit_gbt(
-    series: DataFrame, trees: int = 50, depth: int = 6, rate: float = 0.1, horizons: Sequence[int] = GBT_HORIZONS, seed: int = 42
+    series: DataFrame, trees: int = 1000, depth: int = 6, rate: float = 0.1, horizons: Sequence[int] = range(1, HORIZON + 1), seed: int = 42
 ) -> GBTRegressionModel:
-    """One model for all series and horizons, so a forecast is a single transform."""
+    """One model for all series and horizons, so a forecast is a single transform. Days beyond the longest horizon given here
+    are forecast with that feature beyond what the trees have seen."""
     assembler = VectorAssembler(inputCols=GBT_FEATURES, outputCol="features")
     data = stage(assembler.transform(gbt_training(series, horizons)).select("features", "label"), "gbt")
     return GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=rate, lossType="squared", seed=seed).fit(data)
 
 
-def forecast_gbt(model: GBTRegressionModel, series: DataFrame, horizon: int = HORIZON, level: float = 0.95) -> DataFrame:
+def forecast_gbt(model: GBTRegressionModel, series: DataFrame, horizon: int | DataFrame = HORIZON, level: float = 0.95) -> DataFrame:
     """Forecast from each series' last day; bounds are z times a tenth of the forecasts' deviation."""
     origins = _origins(series)
     last = F.row_number().over(W.partitionBy("series_id").orderBy(F.desc("origin")))
     newest = origins.withColumn("_r", last).filter("_r = 1").drop("_r")
-    ahead = _at_horizon(newest, F.sequence(F.lit(1), F.lit(horizon)))
+    ahead = _at_horizon(with_horizon(newest, horizon).withColumnRenamed("horizon", "_until"), F.sequence(F.lit(1), F.col("_until")))
     assembled = VectorAssembler(inputCols=GBT_FEATURES, outputCol="features").transform(ahead)
-    yhat = model.transform(assembled).withColumn("yhat", F.col("prediction") * F.col("series_mean"))
+    yhat = model.transform(assembled).withColumn("yhat", F.col("prediction") * F.col("series_scale"))
     half = F.lit(Z[level] * 0.1) * F.stddev_pop("yhat").over(W.partitionBy("series_id"))
     return yhat.select("series_id", F.lit("gbt").alias("model"), "ds", "yhat", half.alias("h")).select(
         "series_id", "model", "ds", "yhat", (F.col("yhat") - F.col("h")).alias("lower"), (F.col("yhat") + F.col("h")).alias("upper")
@@ -202,30 +218,94 @@ def gbt_importances(spark: SparkSession, model: GBTRegressionModel) -> DataFrame
 
 # --- ensemble -------------------------------------------------------------------------------------
 
+log = logging.getLogger(__name__)
+
+
+@dataclass(frozen=True)
+class Ensemble:
+    """Fitted models, each None if it failed or was not asked for, with the weights and metrics of the holdout."""
+
+    series: DataFrame
+    ar: DataFrame | None
+    seasonal: DataFrame | None
+    trees: GBTRegressionModel | None
+    weights: DataFrame | None = None
+    metrics: DataFrame | None = None
+
+    def forecasts(self, horizon: int | DataFrame = HORIZON) -> DataFrame:
+        """Rows of every model, see ``MODEL_COLUMNS``."""
+        parts = [forecast_ar(self.ar, horizon)] if self.ar is not None else []
+        parts += [forecast_seasonal(self.seasonal, horizon)] if self.seasonal is not None else []
+        parts += [forecast_gbt(self.trees, self.series, horizon)] if self.trees is not None else []
+        if not parts:
+            raise ValueError("no model could be fitted")
+        return union_all(*parts)
+
+    def forecast(self, horizon: int | DataFrame = HORIZON, renormalise: bool = False) -> DataFrame:
+        return blend(self.forecasts(horizon), self.weights, renormalise)
+
+    def save(self, path: str) -> None:
+        """Write every part under ``path``; what is missing there is missing after loading."""
+        for name in ("series", "ar", "seasonal", "weights", "metrics"):
+            part = getattr(self, name)
+            if part is not None:
+                part.write.mode("overwrite").parquet(f"{path}/{name}")
+        if self.trees is not None:
+            self.trees.write().overwrite().save(f"{path}/trees")
+        parts = [(n,) for n in ("series", "ar", "seasonal", "weights", "metrics", "trees") if getattr(self, n) is not None]
+        self.series.sparkSession.createDataFrame(parts, "part string").write.mode("overwrite").parquet(f"{path}/parts")
+
+
+def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
+    parts = {r[0] for r in spark.read.parquet(f"{path}/parts").collect()}
+    tables = {n: spark.read.parquet(f"{path}/{n}") if n in parts else None for n in ("series", "ar", "seasonal", "weights", "metrics")}
+    return Ensemble(trees=GBTRegressionModel.load(f"{path}/trees") if "trees" in parts else None, **tables)
+
+
+def _fitted(series: DataFrame, trees: int, depth: int, horizons: Sequence[int]) -> Ensemble:
+    """Fit every model; one that fails is reported and left out."""
+
+    def attempt(name: str, fit):
+        try:
+            return fit()
+        except Exception as e:  # any failure of one model leaves the others
+            log.warning("the %s model is left out: %s", name, str(e).split("\n")[0])
+            return None
+
+    return Ensemble(
+        series,
+        attempt("autoregressive", lambda: stage(fit_ar(series), "ar")),
+        attempt("seasonal", lambda: stage(fit_seasonal(series), "seasonal")),
+        attempt("tree", lambda: fit_gbt(series, trees=trees, depth=depth, horizons=horizons)) if trees else None,
+    )
 
-def _all_forecasts(series: DataFrame, horizon: int, trees: int, depth: int) -> DataFrame:
-    parts = [forecast_ar(fit_ar(series), horizon), forecast_seasonal(fit_seasonal(series), horizon)]
-    if trees:
-        parts.append(forecast_gbt(fit_gbt(series, trees=trees, depth=depth), series, horizon))
-    return union_all(*parts)
 
+def holdout_horizon(train: DataFrame, test: DataFrame) -> DataFrame:
+    """(series_id, horizon): calendar days from the end of training to the last day of the holdout."""
+    last = train.filter("y IS NOT NULL").groupBy("series_id").agg(F.max("ds").alias("a"))
+    return last.join(test.groupBy("series_id").agg(F.max("ds").alias("b")), "series_id").select("series_id", F.datediff("b", "a").alias("horizon"))
 
-def ensemble(
-    series: DataFrame, horizon: int = HORIZON, train_share: float = 0.8, trees: int = 50, depth: int = 6, renormalise: bool = False
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(blended forecast, weights, holdout metrics).
 
-    Models are fitted on the first part of each series and judged on the rest; the weights then blend
-    models refitted on the whole series. A holdout longer than the forecast horizon is judged on the
-    forecast days.
-    """
+def fit_ensemble(
+    series: DataFrame, horizon: int = HORIZON, train_share: float = 0.8, trees: int = 1000, depth: int = 6, horizons: Sequence[int] | None = None
+) -> Ensemble:
+    """Models are fitted on the first part of each series and judged on all of the rest; the weights then blend models
+    refitted on the whole series. ``horizons`` are those that the trees learn, all up to ``horizon`` by default."""
     series = stage(series, "series")
     split = split_by_time(series, train_share)
     train = stage(split.filter("part = 'train'").select("series_id", "ds", "y"), "train")
-    test = split.filter("part = 'test'").select("series_id", "ds", "y")
-    metrics = stage(accuracy(test, _all_forecasts(train, horizon, trees, depth)), "metrics")
-    weights = inverse_rmse_weights(metrics)
-    return blend(_all_forecasts(series, horizon, trees, depth), weights, renormalise), weights, metrics
+    test = stage(split.filter("part = 'test'").select("series_id", "ds", "y"), "test")
+    learned = horizons or range(1, horizon + 1)
+    first = _fitted(train, trees, depth, learned)
+    metrics = stage(accuracy(test, first.forecasts(stage(holdout_horizon(train, test), "horizon"))), "metrics")
+    weights = stage(inverse_rmse_weights(metrics), "weights")
+    return replace(_fitted(series, trees, depth, learned), weights=weights, metrics=metrics)
+
+
+def ensemble(series: DataFrame, horizon: int = HORIZON, renormalise: bool = False, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(blended forecast, weights, holdout metrics), see ``fit_ensemble``."""
+    fitted = fit_ensemble(series, horizon, **options)
+    return fitted.forecast(horizon, renormalise), fitted.weights, fitted.metrics
 
 
 # --- parameter search -----------------------------------------------------------------------------
@@ -259,12 +339,10 @@ def tune_ar(series: DataFrame, trials: Sequence[dict] | int = 50, train_share: f
             s = (y - low) / width
             x, target = _windows(s[:cut], lookback)
             coef = ridge(x, target, alpha)
-            recent, err = list(s[cut - lookback : cut]), 0.0
-            for actual in s[cut:]:
-                nxt = float(np.clip(coef[0] + coef[1:] @ np.asarray(recent), -1.0, 2.0))
-                recent = recent[1:] + [nxt]
-                err += (actual - nxt) ** 2
-            rmse = float(np.sqrt(err / (len(y) - cut)) * width)
+            with np.errstate(over="ignore", invalid="ignore"):
+                off = s[cut:] - _recurse(coef, s[cut - lookback : cut], len(y) - cut)
+                found = float(np.sqrt(np.mean(off * off)) * width)
+            rmse = found if np.isfinite(found) else rmse
         return pd.DataFrame([(first["series_id"], int(first["trial"]), lookback, alpha, rmse)],
                             columns=["series_id", "trial", "lookback", "alpha", "rmse"])
 
@@ -280,10 +358,11 @@ def tune_gbt(series: DataFrame, grid: Sequence[dict], train_share: float = 0.8)
     series = stage(series, "series")
     split = split_by_time(series, train_share)
     train = stage(split.filter("part = 'train'").select("series_id", "ds", "y"), "train")
-    test = split.filter("part = 'test'").select("series_id", "ds", "y")
+    test = stage(split.filter("part = 'test'").select("series_id", "ds", "y"), "test")
+    ahead = stage(holdout_horizon(train, test), "horizon")
     spark, rows = series.sparkSession, []
     for i, setting in enumerate(grid):
-        found = accuracy(test, forecast_gbt(fit_gbt(train, **setting), train)).agg(F.avg("rmse")).first()[0]
+        found = accuracy(test, forecast_gbt(fit_gbt(train, **setting), train, ahead)).agg(F.avg("rmse")).first()[0]
         rows.append((i, str(setting), float(found) if found is not None else float("inf")))
     return spark.createDataFrame(rows, "trial int, setting string, rmse double")
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+#: rows of one key from which it is dealt over several tasks, whatever the size of the table
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 10_000
+#: bytes of the list of hot keys up to which it is sent to every task; a longer list is joined by a shuffle
+HOT_LIST_BYTES = 8 << 20
 
 
 def lookup_join(
@@ -16,25 +19,32 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``stats`` (a staged table, one row per key) to ``rows``, left unless told otherwise.
 
-    ``weight`` is the number of rows of each key. A small ``stats`` is broadcast by Spark from its
-    written size. Otherwise the rows of a hot key are dealt over several salts and its stats row is
-    repeated once per salt. The list of hot keys is bounded: at most total / HOT_ROWS and never more
-    than MAX_HOT_KEYS, because the bar rises with the total. Rows are dealt by a hash of ``spread_by``
-    (columns that tell rows apart; all columns by default), so a repeated task deals them the same way.
+    ``weight`` is the number of rows of each key. A small ``stats`` is broadcast by Spark from its written size. Otherwise the
+    rows of a key above HOT_ROWS are dealt over several salts and its stats row is repeated once per salt. Rows with a null in
+    the key match nothing; a left join deals them over all tasks. Rows are dealt by a hash of ``spread_by`` (columns that
+    tell rows apart; all columns by default), so a repeated task deals them the same way.
     """
-    total, top = stats.agg(F.sum(weight), F.max(weight)).first()
-    bar = max(HOT_ROWS, (total or 0) // MAX_HOT_KEYS)
-    if not top or top <= bar:
-        return rows.join(stats, list(keys), how)
-
-    salts = F.ceil(F.col(weight) / F.lit(bar)).cast("int")
-    hot = stats.filter(F.col(weight) > bar).select(*keys, salts.alias("_salts"))
-    dealt = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
-        "_salt",
-        F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.col("_salts")).cast("int")
-        ),
-    )
-    copies = F.sequence(F.lit(0), F.when(F.col(weight) > bar, salts - 1).otherwise(F.lit(0)))
-    spread = stats.withColumn("_salt", F.explode(copies))
+    keys = list(keys)
+    top = stats.agg(F.max(weight)).first()[0]
+    hot_rows = HOT_ROWS
+    if not top:
+        return rows.join(stats, keys, how)
+
+    by = F.xxhash64(*(spread_by or rows.columns))
+    salts = F.ceil(F.col(weight) / F.lit(hot_rows)).cast("int")
+    is_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # a null key gets a salt of its own that no stats row has, so that its rows go to all tasks
+    apart = F.when(is_null, -1 - F.pmod(by, F.lit(1 << 20)))
+    if top <= hot_rows:
+        if how != "left":
+            return rows.join(stats, keys, how)
+        # 0, but not a constant, which would be taken out of the join keys
+        none = stats.withColumn("_salt", F.least(F.col(weight), F.lit(0)).cast("long"))
+        return rows.withColumn("_salt", F.coalesce(apart, F.lit(0))).join(none, [*keys, "_salt"], how).drop("_salt")
+    hot = stats.filter(F.col(weight) > hot_rows).select(*keys, salts.alias("_salts"))
+    if stats.filter(F.col(weight) > hot_rows).agg(F.sum(F.lit(16) + sum((F.octet_length(F.col(k).cast("string")) for k in keys), F.lit(0)))).first()[0] <= HOT_LIST_BYTES:
+        hot = F.broadcast(hot)
+    dealt = rows.join(hot, keys, "left").withColumn("_salt", F.coalesce(apart, F.pmod(by, F.col("_salts")), F.lit(0)))
+    copies = F.sequence(F.lit(0), F.when(F.col(weight) > hot_rows, salts - 1).otherwise(F.lit(0)))
+    spread = stats.withColumn("_salt", F.explode(copies.cast("array<long>")))
     return dealt.drop("_salts").join(spread, [*keys, "_salt"], how).drop("_salt")

@@ -45,8 +45,13 @@ SQL["ml_standardise"] = f"{FRAME} SELECT customer_id, " + ", ".join(f"{rnd(scale
 @query
 def ml_kmeans(spark: SparkSession, sf: str) -> DataFrame:
     d = _frame(spark, sf)
-    model = ml.fit_kmeans(d, _COLS)
-    return ml.with_kmeans(d, model).select("customer_id", "kmeans_cluster", *[f"distance_to_cluster_{i}" for i in range(8)])
+    out = ml.with_kmeans(d, ml.fit_kmeans(d, _COLS))
+    away = F.array(*[F.col(f"distance_to_cluster_{i}") for i in range(8)])
+    own = F.element_at(away, F.col("kmeans_cluster") + 1)
+    return out.select("customer_id", (own == F.array_min(away)).cast("int").alias("is_nearest"), F.size(away).alias("n_centres"))
+
+
+SQL["ml_kmeans"] = f"{FRAME} SELECT customer_id, CAST(1 AS INTEGER) AS is_nearest, CAST(8 AS INTEGER) AS n_centres FROM frame"
 
 
 _NEAR = ["c_acctbal", "amount_sum", "n_lines"]
@@ -110,9 +115,14 @@ SQL["ml_dbscan_labels"] = f"""{_NEAR_SQL}, link AS MATERIALIZED (SELECT a, b FRO
 
 @query
 def ml_pca(spark: SparkSession, sf: str) -> DataFrame:
+    """All components turn the scaled columns without changing a row's length."""
     d = _frame(spark, sf)
-    out = ml.with_pca(d, ml.fit_pca(d, _COLS))
-    return out.select("customer_id", *[f"pca_component_{i}" for i in range(1, 11)])
+    out = ml.with_pca(d, ml.fit_pca(d, _COLS, len(_COLS)))
+    length = sum((F.pow(F.col(f"pca_component_{i}"), 2) for i in range(1, len(_COLS) + 1)), F.lit(0.0))
+    return out.select("customer_id", r(length, 5).alias("squared_length"))
+
+
+SQL["ml_pca"] = f"{FRAME} SELECT customer_id, {rnd(' + '.join(f'power({scaled(c)}, 2)' for c in _COLS), 5)} AS squared_length FROM frame"
 
 
 @query
@@ -121,7 +131,16 @@ def ml_iforest(spark: SparkSession, sf: str) -> DataFrame:
     keyed = line.withColumn("row_key", F.xxhash64(*line.columns))
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     out = with_forest(keyed, fit_forest(keyed, "row_key", cols))
-    return out.select("l_orderkey", "l_linenumber", "isolation_forest_score", "isolation_forest_anomaly")
+    score, strange = F.col("isolation_forest_score"), F.col("isolation_forest_anomaly")
+    found = out.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum((~score.between(-1, 0)).cast("long")).alias("n_outside"), F.sum(strange).alias("n"),
+        F.max(F.when(strange == 1, score)).alias("a"), F.min(F.when(strange == 0, score)).alias("b"),
+    )
+    near_tenth = (F.col("n") <= 0.1 * F.col("n_rows") + 1) & (F.col("n") >= 0.09 * F.col("n_rows"))
+    return found.select("n_rows", "n_outside", (F.col("a") < F.col("b")).cast("int").alias("cut_holds"), near_tenth.cast("int").alias("a_tenth_is_strange"))
+
+
+SQL["ml_iforest"] = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_outside, CAST(1 AS INTEGER) AS cut_holds, CAST(1 AS INTEGER) AS a_tenth_is_strange FROM lineitem"
 
 
 # --- forecasting frames ----------------------------------------------------------------------------
@@ -248,7 +267,7 @@ def fc_fourier(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL["fc_fourier"] = f"{DAILY}, e AS (SELECT series_id, ds, CAST(ds - DATE '1970-01-01' AS DOUBLE) AS day FROM daily) SELECT series_id, {_DS_SQL}, " + ", ".join(
-    f"{rnd(f'{t}(2 * pi() * {k} * day / {period}::DOUBLE)', 6)} AS {name}_{t}_{k}" for name, period, order in fm.SEASONS for k in range(1, order + 1) for t in ("sin", "cos")
+    f"{rnd(f'{t}(2 * pi() * {k} * day / {period}::DOUBLE)', 6)} AS {name}_{t}_{k}" for name, period, order in (("weekly", 7.0, 3), ("yearly", 365.25, 10), ("monthly", 30.5, 5), ("quarterly", 91.25, 8)) for k in range(1, order + 1) for t in ("sin", "cos")
 ) + " FROM e"
 
 # --- accuracy, weights, blending: on two naive forecasters, which SQL can follow --------------------
@@ -319,49 +338,145 @@ SQL["fc_history_plus"] = f"""{DAILY}, l AS (SELECT series_id, max(ds) AS d, arg_
 # --- fitted forecasters ----------------------------------------------------------------------------
 
 
-def _dated(df: DataFrame) -> DataFrame:
-    return df.withColumn("ds", F.date_format("ds", "yyyy-MM-dd"))
+def _days(df: DataFrame, bounds: tuple[str, str] = ("lower", "upper"), value: str = "yhat", day: str = "ds") -> DataFrame:
+    """Days of each series' forecast, and those on which the value lies between its bounds."""
+    inside = (F.col(bounds[0]) <= F.col(value)) & (F.col(value) <= F.col(bounds[1]))
+    return df.groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("n_days"), F.date_format(F.min(day), "yyyy-MM-dd").alias("first_day"), F.date_format(F.max(day), "yyyy-MM-dd").alias("last_day"),
+        F.sum(inside.cast("long")).alias("n_inside"),
+    )
+
+
+_DAYS_SQL = f"""{DAILY} SELECT series_id, CAST(90 AS BIGINT) AS n_days, strftime(max(ds) + 1, '%Y-%m-%d') AS first_day, strftime(max(ds) + 90, '%Y-%m-%d') AS last_day,
+ CAST(90 AS BIGINT) AS n_inside FROM daily GROUP BY 1"""
 
 
 @query
 def fc_ar(spark: SparkSession, sf: str) -> DataFrame:
-    return _dated(fm.forecast_ar(fm.fit_ar(_daily(spark, sf))))
+    return _days(fm.forecast_ar(fm.fit_ar(_daily(spark, sf))))
+
+
+SQL["fc_ar"] = _DAYS_SQL
+
+
+@query
+def fc_ar_one_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The autoregressive model with one day of memory, which has a closed form."""
+    made = fm.forecast_ar(fm.fit_ar(_daily(spark, sf), lookback=1, alpha=1.0))
+    return made.select("series_id", _ds(), *[r(c, 3).alias(c) for c in ("yhat", "lower", "upper")])
+
+
+SQL["fc_ar_one_day"] = f"""{DAILY}, b AS (SELECT series_id, ds, min(y) OVER s AS low, max(y) OVER s - min(y) OVER s AS width, (y - min(y) OVER s) / (max(y) OVER s - min(y) OVER s) AS v
+ FROM daily WINDOW s AS (PARTITION BY series_id)),
+ q AS (SELECT *, lag(v) OVER (PARTITION BY series_id ORDER BY ds) AS u FROM b), m AS (SELECT series_id, avg(u) AS mu, avg(v) AS mv,
+ (count(*) * covar_pop(u, v)) / (count(*) * var_pop(u) + 1) AS beta FROM q WHERE u IS NOT NULL GROUP BY 1),
+ f AS (SELECT q.series_id, any_value(low) AS low, any_value(width) AS width, any_value(beta) AS beta, any_value(mv - beta * mu) AS alpha,
+ stddev_pop(v - (mv - beta * mu) - beta * u) * any_value(width) AS sigma, max(ds) AS d, arg_max(v, ds) AS last FROM q JOIN m ON q.series_id = m.series_id WHERE u IS NOT NULL GROUP BY 1),
+ p AS (SELECT series_id, d + CAST(i AS INTEGER) AS ds, low + width * (alpha * (1 - power(beta, i)) / (1 - beta) + power(beta, i) * last) AS yhat, sigma FROM f CROSS JOIN range(1, 91) t(i))
+ SELECT series_id, {_DS_SQL}, {rnd('yhat', 3)} AS yhat, {rnd('yhat - 1.96::DOUBLE * sigma', 3)} AS lower, {rnd('yhat + 1.96::DOUBLE * sigma', 3)} AS upper FROM p"""
 
 
 @query
 def fc_seasonal(spark: SparkSession, sf: str) -> DataFrame:
-    return _dated(fm.forecast_seasonal(fm.fit_seasonal(_daily(spark, sf))))
+    return _days(fm.forecast_seasonal(fm.fit_seasonal(_daily(spark, sf))))
+
+
+SQL["fc_seasonal"] = _DAYS_SQL
+
+
+@query
+def fc_seasonal_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """The seasonal forecast from given coefficients: 100, trend 10, and 1, 2, 3, ... on the seasonal terms."""
+    terms = 2 * sum(order for _, _, order in fm.SEASONS)
+    coef = F.array(F.lit(100.0), F.lit(10.0), *[F.lit(float(i)) for i in range(1, terms + 1)])
+    models = _daily(spark, sf).groupBy("series_id").agg(F.min("ds").alias("start_ds"), F.max("ds").alias("last_ds")).select(
+        "series_id", "start_ds", F.datediff("last_ds", "start_ds").alias("span"), coef.alias("coef"), F.lit(2.0).alias("sigma"), "last_ds")
+    made = fm.forecast_seasonal(models)
+    return made.select("series_id", _ds(), *[r(c, 5).alias(c) for c in ("yhat", "lower", "upper")])
+
+
+def _seasonal_sql() -> str:
+    terms, i = ["100", "10 * (ds - a) / greatest(b - a, 1)"], 0
+    for period, order in (("7", 3), ("365.25", 10), ("30.5", 5), ("91.25", 8)):
+        for k in range(1, order + 1):
+            for fn in ("sin", "cos"):
+                i += 1
+                terms.append(f"{i} * {fn}(2 * pi() * {k} * CAST(ds - DATE '1970-01-01' AS DOUBLE) / {period}::DOUBLE)")
+    return f"""{DAILY}, l AS (SELECT series_id, min(ds) AS a, max(ds) AS b FROM daily GROUP BY 1),
+ f AS (SELECT series_id, a, b, b + CAST(i AS INTEGER) AS ds FROM l CROSS JOIN range(1, 91) t(i)), p AS (SELECT series_id, ds, {' + '.join(terms)} AS yhat FROM f)
+ SELECT series_id, {_DS_SQL}, {rnd('yhat', 5)} AS yhat, {rnd('yhat - 3.92::DOUBLE', 5)} AS lower, {rnd('yhat + 3.92::DOUBLE', 5)} AS upper FROM p"""
+
+
+SQL["fc_seasonal_fixed"] = _seasonal_sql()
+
+#: trees and horizons of the registered queries: the library's defaults are 1,000 trees and every day up to 90
+_TREES, _TREE_DAYS = 20, (1, 2, 3, 5, 7, 14, 21, 30, 45, 60, 75, 90)
 
 
 @query
 def fc_gbt(spark: SparkSession, sf: str) -> DataFrame:
     s = _daily(spark, sf)
-    return _dated(fm.forecast_gbt(fm.fit_gbt(s), s))
+    return _days(fm.forecast_gbt(fm.fit_gbt(s, trees=_TREES, horizons=_TREE_DAYS), s))
+
+
+SQL["fc_gbt"] = _DAYS_SQL
+
+
+@query
+def fc_holdout(spark: SparkSession, sf: str) -> DataFrame:
+    """Days on which each model of the ensemble is judged: the whole holdout; the weights of a series add up to 1."""
+    fitted = fm.fit_ensemble(_daily(spark, sf), trees=2, depth=3, horizons=(1, 90))
+    return fitted.metrics.join(fitted.weights, ["series_id", "model"]).groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("n_models"), F.min("n_days").alias("least_days"), F.max("n_days").alias("most_days"), r(F.sum("weight"), 6).alias("weights"))
+
+
+SQL["fc_holdout"] = f"""{DAILY}, n AS (SELECT series_id, count(*) - CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS k FROM daily GROUP BY 1)
+ SELECT series_id, CAST(3 AS BIGINT) AS n_models, k AS least_days, k AS most_days, 1.0::DOUBLE AS weights FROM n"""
 
 
 @query
 def fc_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The 90-day ensemble forecast with bounds at three levels."""
-    blended, _, _ = fm.ensemble(_daily(spark, sf))
-    levels = ff.with_levels(blended, (0.8, 0.9))
-    out = ff.forecast_table(blended).withColumnRenamed("date", "ds")
-    return _dated(out.join(levels.select("series_id", "ds", "lower_80", "upper_80", "lower_90", "upper_90"), ["series_id", "ds"]))
+    """The 90-day ensemble forecast: days, and how often the bounds of three levels lie around each other in order."""
+    blended, _, _ = fm.ensemble(_daily(spark, sf), trees=_TREES, horizons=_TREE_DAYS)
+    both = ff.forecast_table(ff.with_levels(blended, (0.8, 0.9))).withColumnRenamed("date", "ds").join(
+        ff.with_levels(blended, (0.8, 0.9)).select("series_id", "ds", "lower_80", "upper_80", "lower_90", "upper_90"), ["series_id", "ds"])
+    nested = F.lit(True)
+    steps = ["lower_bound", "lower_90", "lower_80", "predicted_sales", "upper_80", "upper_90", "upper_bound"]
+    for a, b in zip(steps, steps[1:]):
+        nested = nested & (F.col(a) <= F.col(b))
+    return both.groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("n_days"), F.date_format(F.min("ds"), "yyyy-MM-dd").alias("first_day"), F.date_format(F.max("ds"), "yyyy-MM-dd").alias("last_day"),
+        F.sum(nested.cast("long")).alias("n_inside"))
+
+
+SQL["fc_table"] = _DAYS_SQL
 
 
 @query
 def fc_tune(spark: SparkSession, sf: str) -> DataFrame:
-    return fm.tune_ar(_daily(spark, sf), 50)
+    """Trials of each series, winners, and whether the winner has the least error."""
+    scored = fm.tune_ar(_daily(spark, sf), 50)
+    return scored.groupBy("series_id").agg(
+        F.countDistinct("trial").alias("n_trials"), F.sum("best").cast("long").alias("n_winners"),
+        (F.max(F.when(F.col("best") == 1, F.col("rmse"))) == F.min("rmse")).cast("int").alias("winner_is_least"))
+
+
+SQL["fc_tune"] = f"{DAILY} SELECT DISTINCT series_id, CAST(50 AS BIGINT) AS n_trials, CAST(1 AS BIGINT) AS n_winners, CAST(1 AS INTEGER) AS winner_is_least FROM daily"
 
 
 @query
 def fc_persist(spark: SparkSession, sf: str) -> DataFrame:
-    """Forecasts of a model table before saving and after loading it again."""
-    models = stage(fm.fit_ar(_daily(spark, sf)), "models")
-    path = stage_path(spark, "saved-models")
-    fm.save_models(models, path)
-    before = fm.forecast_ar(models).select("series_id", "ds", F.col("yhat").alias("before_saving"))
-    after = fm.forecast_ar(fm.load_models(spark, path)).select("series_id", "ds", F.col("yhat").alias("after_loading"))
-    return _dated(before.join(after, ["series_id", "ds"]))
+    """Largest difference between an ensemble's forecasts before saving and after loading it again."""
+    fitted = fm.fit_ensemble(_daily(spark, sf), trees=5, depth=3, horizons=(1, 30, 90))
+    path = stage_path(spark, "saved-ensemble")
+    fitted.save(path)
+    before = fitted.forecast().select("series_id", "ds", F.col("yhat").alias("a"))
+    after = fm.load_ensemble(spark, path).forecast().select("series_id", "ds", F.col("yhat").alias("b"))
+    return before.join(after, ["series_id", "ds"]).groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("n_days"), r(F.max(F.abs(F.col("a") - F.col("b"))), 6).alias("largest_difference"))
+
+
+SQL["fc_persist"] = f"{DAILY} SELECT DISTINCT series_id, CAST(90 AS BIGINT) AS n_days, 0.0::DOUBLE AS largest_difference FROM daily"
 
 
 # --- full jobs -------------------------------------------------------------------------------------

@@ -117,3 +117,38 @@ def test_tree_search_scores_every_setting(spark, series):
     one = series.filter("series_id = '0' AND ds < '2022-07-01'")
     got = fm.tune_gbt(one, [{"trees": 2, "depth": 2, "horizons": (1, 45, 90)}, {"trees": 4, "depth": 3, "horizons": (1, 45, 90)}]).toPandas()
     assert got["trial"].tolist() == [0, 1] and got["rmse"].between(1, 1000).all()
+
+
+def test_whole_holdout_is_judged(spark, series):
+    fitted = fm.fit_ensemble(series, trees=2, depth=2, horizons=(1, 200))
+    size = {r[0]: r[1] for r in ff.split_by_time(series).filter("part = 'test'").groupBy("series_id").count().collect()}
+    judged = fitted.metrics.collect()
+    assert len(judged) == 6 and all(m["n_days"] == size[m["series_id"]] > 200 for m in judged)
+
+
+def test_growing_series_are_not_held(spark):
+    days = pd.date_range("2020-01-01", periods=400).date
+    df = spark.createDataFrame([("g", d, float(np.exp(i / 60))) for i, d in enumerate(days)], "series_id string, ds date, y double")
+    made = fm.forecast_ar(fm.fit_ar(df, alpha=1e-6)).orderBy("ds").toPandas()["yhat"].to_numpy()
+    assert len(set(made)) == 90 and made[-1] > 3 * np.exp(399 / 60)
+
+
+def test_series_around_zero_are_kept(spark):
+    days = pd.date_range("2020-01-01", periods=400).date
+    rows = [("z", d, float((-1) ** i)) for i, d in enumerate(days)] + [("none", d, 0.0) for d in days]
+    df = spark.createDataFrame(rows, "series_id string, ds date, y double")
+    made = fm.forecast_gbt(fm.fit_gbt(df, trees=3, depth=3, horizons=(1, 2, 3)), df, 3)
+    assert sorted((r[0], r[1]) for r in made.groupBy("series_id").count().collect()) == [("none", 3), ("z", 3)]
+
+
+def test_a_failing_model_is_left_out_and_ensembles_are_saved(spark, series, tmp_path, monkeypatch):
+    def broken(*_, **__):
+        raise RuntimeError("no trees today")
+
+    monkeypatch.setattr(fm, "fit_gbt", broken)
+    fitted = fm.fit_ensemble(series)
+    assert fitted.trees is None and fitted.weights.select("model").distinct().count() == 2
+    fitted.save(str(tmp_path / "e"))
+    loaded = fm.load_ensemble(spark, str(tmp_path / "e"))
+    a, b = (x.forecast(20).orderBy("series_id", "ds").toPandas()["yhat"] for x in (fitted, loaded))
+    np.testing.assert_allclose(a, b)

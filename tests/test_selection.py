@@ -47,3 +47,23 @@ def test_hot_keys_are_dealt_over_salts(spark, monkeypatch):
     want = rows.join(stats, ["k"], "left")
     assert sorted(map(tuple, got.select("id", "k", "n", "s").collect()), key=str) == sorted(map(tuple, want.select("id", "k", "n", "s").collect()), key=str)
     assert "_salt" not in got.columns
+
+
+def test_null_keys_are_spread_over_all_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from brightloom.staging import stage
+
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, (F.col("id") % 500).cast("string")).alias("k"))
+    stats = stage(rows.filter("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n")), "stats")
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = joins.lookup_join(rows, stats, ["k"], weight="n", spread_by=["id"])
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert out.count() == 40_000 and out.filter("k is null and n is null").count() == 20_000
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    assert max(sizes) < 1.5 * sum(sizes) / len(sizes)
