@@ -9,9 +9,11 @@ id, text digest, line number. So the first of a group of equal lines stays, unle
 * A line is cut into ``max_edits + 1`` segments; with at most ``max_edits`` edits, one segment of the shorter line stands
   unchanged in the longer one, near its place. Segments are indexed by (number, line length, hash); a line probes the lengths
   down to ``max_edits`` below its own, at the only starts that multi-match-aware selection leaves.
-* Pairs must also agree on a bit set of their words (an edit changes at most three words), checked inside the join, so a
-  segment that many lines share does not emit its pairs. What passes is verified by a bit-parallel automaton over the
-  2 * max_edits + 1 diagonals of the band.
+* A segment that more than ``HEAVY`` lines share does not emit its pairs: its lines are compared with its first line, and those
+  that are not settled by that meet the others under a condition inside the join, on their letter counts (an edit changes
+  the sum of differences by two at most). The lines of such a segment are dealt over all tasks on the way there.
+* What meets is verified, after the same test of letter counts, by a bit-parallel automaton over the 2 * max_edits + 1
+  diagonals of the band.
 * Null text has no lines and stays null. An empty text has one empty line and stays. Rows that are equal in id and text are
   one document for the decisions, and all of them stay. Null ids come last. A document that loses all lines stays, empty.
 """
@@ -24,8 +26,11 @@ from brightloom.staging import stage
 
 MAX_EDITS = 2
 MIN_LENGTH = 20
-#: bytes of candidate ids (8 each) up to which they are sent to every task; above, the texts are shuffled to them
+#: lines with one segment from which its pairs are not emitted any more
+HEAVY = 32
+#: bytes of ids or hashes (about 16 each) up to which they are sent to every task; above, the other side is shuffled to them
 SMALL_IDS = 4 << 20
+LETTERS = "abcdefghijklmnopqrstuvwxyz "
 _LAST = (1 << 63) - 1
 
 
@@ -59,27 +64,34 @@ def _hash(i: int, length: str, start: str, size: str) -> str:
     return f"xxhash64({i}, {length}, substring(_line, {start}, {size}))"
 
 
-def segment_rows(edits: int) -> tuple[Column, Column]:
-    """(index, probes): arrays of hashes of a line ``_line`` of ``_len`` code points."""
-    index, probes = [], []
+def segment_rows(edits: int) -> tuple[Column, Column, list[int]]:
+    """(index, probes, own): arrays of hashes of a line ``_line`` of ``_len`` code points, and which probes are its index.
+
+    The starts lie inside the line, as a line has at least as many code points as segments.
+    """
+    index, probes, own = [], [], []
     for delta in range(edits + 1):
         length = f"cast(_len - {delta} as int)"
         for i in range(1, edits + 2):
             start, size = _segment(i, length, edits)
-            if delta == 0:
-                index.append(_hash(i, length, start, size))
             low = max(-(i - 1), delta - (edits + 1 - i))
             high = min(i - 1, delta + (edits + 1 - i))
             for off in range(low, high + 1):
-                at = f"{start} + {off}"
-                inside = f"{at} >= 1 and {at} + {size} - 1 <= _len"
-                probes.append(f"if({inside}, {_hash(i, length, at, size)}, null)")
-    return F.expr(f"array({', '.join(index)})"), F.expr(f"array_compact(array({', '.join(probes)}))")
+                made = _hash(i, length, f"{start} + {off}", size)
+                if delta == off == 0:
+                    index.append(made)
+                    own.append(len(probes))
+                probes.append(made)
+    return F.expr(f"array({', '.join(index)})"), F.expr(f"array({', '.join(probes)})"), own
+
 
+def letter_counts(line: str = "_line") -> Column:
+    return F.array(*[F.char_length(line) - F.char_length(F.replace(F.col(line), F.lit(c))) for c in LETTERS])
 
-def word_bits(line: str = "_line") -> Column:
-    """A bit per hash value of the words that stand an odd number of times."""
-    return F.expr(f"aggregate(split({line}, ' '), 0L, (a, w) -> a ^ shiftleft(1L, pmod(hash(w), 64)))")
+
+def counts_apart(a: str, b: str) -> Column:
+    """Sum of the differences of two arrays of letter counts."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
 
 
 def within_edits(a: str, b: str, edits: int) -> Column:
@@ -104,30 +116,56 @@ def within_edits(a: str, b: str, edits: int) -> Column:
     return F.expr(f"abs(char_length({a}) - char_length({b})) <= {edits} and ({read}.s{edits} & shiftleft(1, {last})) != 0")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` (staged, rows of about 16 bytes), to be sent to every task if its counted size allows it."""
+    return F.broadcast(df) if df.count() * 16 <= SMALL_IDS else df
+
+
+def _later(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """(_first): the later places of those pairs (a, b) of ids whose lines are near."""
+    one = texts.select(F.col("id").alias("a"), F.col("_first").alias("fa"), F.col("_line").alias("la"), F.col("counts").alias("ca"))
+    two = texts.select(F.col("id").alias("b"), F.col("_first").alias("fb"), F.col("_line").alias("lb"), F.col("counts").alias("cb"))
+    near = F.when(counts_apart("ca", "cb") <= 2 * edits, within_edits("la", "lb", edits)).otherwise(F.lit(False))
+    return pairs.join(one, "a").join(two, "b").filter(near & (F.col("la") != F.col("lb"))).select(F.greatest("fa", "fb").alias("_first")).distinct()
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
 def near_earlier(firsts: DataFrame, max_edits: int = MAX_EDITS, min_length: int = MIN_LENGTH) -> DataFrame:
     """(_first): the places of distinct lines to which an earlier distinct line is within ``max_edits``.
 
     ``firsts`` is staged, see ``first_lines``. Lines meet under a 64-bit id; should two lines share one, both are verified.
     """
     sized = firsts.select(F.xxhash64("_line").alias("id"), "_line", F.char_length("_line").alias("_len")).filter(F.col("_len") >= max(min_length, max_edits + 1))
-    index, probes = segment_rows(max_edits)
-    found = sized.select("id", word_bits().alias("bits"), index.alias("index"), probes.alias("probes"))
-    stored = found.select("id", "bits", F.explode("index").alias("h"))
-    asked = found.select(F.col("id").alias("id2"), F.col("bits").alias("bits2"), F.explode("probes").alias("h"))
-    pairs = stage(
-        stored.join(asked, "h").filter("id <> id2 and bit_count(bits ^ bits2) <= %d" % (3 * max_edits))
-        .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct(),
-        "line-pairs",
-    )
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = firsts.select(F.xxhash64("_line").alias("id"), "_first", "_line")
-    if pairs.count() * 16 <= SMALL_IDS:
-        ids = F.broadcast(ids)
-    texts = stage(texts.join(ids, "id", "left_semi"), "line-texts")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("_first").alias("fa"), F.col("_line").alias("la")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("_first").alias("fb"), F.col("_line").alias("lb")), "b"
-    )
-    return both.filter(within_edits("la", "lb", max_edits)).select(F.greatest("fa", "fb").alias("_first")).distinct()
+    index, probes, own = segment_rows(max_edits)
+    stored = sized.select("id", F.explode(index).alias("h"))
+    asked = sized.select(F.col("id").alias("id2"), F.posexplode(probes).alias("_pos", "h")).select("id2", "h", F.col("_pos").isin(own).alias("own"))
+    heavy = _small(stage(stored.groupBy("h").count().filter(F.col("count") > HEAVY).select("h", F.lit(True).alias("heavy")), "heavy"))
+    # probes of heavy segments meet nothing here: they go through, dealt by their line
+    marked = asked.join(heavy, "h", "left").withColumn("key", F.when(F.col("heavy"), F.xxhash64("id2", "h")).otherwise(F.col("h")))
+    light = stored.join(heavy, "h", "left_anti").select(F.col("h").alias("key"), "id")
+    met = stage(marked.join(light, "key", "left").filter("heavy or id <> id2").select("heavy", "h", "own", "id", "id2"), "met")
+    pairs = stage(met.filter("heavy is null").select(*_ordered("id", "id2")).distinct(), "line-pairs")
+    members = stage(met.filter("heavy").select("h", F.col("id2").alias("id"), "own").distinct(), "members")
+    ids = stage(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).union(members.select("id")).distinct(), "line-ids")
+    texts = firsts.select(F.xxhash64("_line").alias("id"), "_first", "_line").join(_small(ids), "id", "left_semi")
+    texts = stage(texts.withColumn("counts", letter_counts()), "line-texts")
+    near = stage(_later(pairs, texts, max_edits), "near-lines")
+    if members.isEmpty():
+        return near
+    placed = stage(members.join(texts.select("id", "_first", "counts"), "id"), "placed")
+    pivots = placed.filter("own").groupBy("h").agg(F.min(F.struct("_first", "id"))["id"].alias("pivot"))
+    first_round = members.join(pivots, "h").filter("id <> pivot").select(*_ordered("id", "pivot")).distinct()
+    near = stage(near.union(_later(first_round, texts, max_edits)).distinct(), "near-lines")
+    open_ = stage(placed.join(near.withColumn("gone", F.lit(True)), "_first", "left").withColumn("gone", F.coalesce("gone", F.lit(False))), "open")
+    one = open_.filter("own").select("h", F.col("id").alias("x"), F.col("_first").alias("fx"), F.col("counts").alias("cx"), F.col("gone").alias("gx"))
+    two = open_.select("h", F.col("id").alias("y"), F.col("_first").alias("fy"), F.col("counts").alias("cy"), F.col("gone").alias("gy"))
+    # only pairs whose later line is still open
+    ask = (F.col("x") != F.col("y")) & F.when(F.col("fx") < F.col("fy"), ~F.col("gy")).otherwise(~F.col("gx")) & (counts_apart("cx", "cy") <= 2 * max_edits)
+    second_round = one.join(two, "h").filter(ask).select(*_ordered("x", "y")).distinct()
+    return near.union(_later(second_round, texts, max_edits)).distinct()
 
 
 def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS, min_length: int = MIN_LENGTH) -> DataFrame:

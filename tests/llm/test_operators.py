@@ -216,6 +216,15 @@ def test_lines_equal_brute_force(spark):
     assert all(counts[i][1] == n for i, n in kept.items())
 
 
+def test_heavy_segments_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lines, "HEAVY", 2)
+    rng = random.Random(12)
+    head = "".join(rng.choice("abcde ") for _ in range(15))
+    rows = [(i, "\n".join(head + "".join(rng.choice("ab") for _ in range(rng.randint(6, 9))) for _ in range(3))) for i in range(40)] + line_rows(rng)[40:]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert by_text(lines.dedup_lines(df), "doc_id", "text") == sorted(zip([i for i, _ in rows], brute.kept_lines(rows)), key=str)
+
+
 def test_lines_of_repeated_rows_and_empty_tables(spark, no_docs):
     df = spark.createDataFrame([(1, "one line that is long enough"), (1, "one line that is long enough"), (2, "one line that is long enough")], "doc_id long, text string")
     assert by_text(lines.dedup_lines(df), "doc_id", "text") == [(1, "one line that is long enough")] * 2 + [(2, "")]
