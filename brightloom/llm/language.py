@@ -21,6 +21,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,13 +81,16 @@ class Model:
     def __init__(self, langs: list[str], logs: np.ndarray, scripts: list[set[str]], common: int) -> None:
         self.langs, self.logs, self.scripts, self.common = langs, logs, scripts, common
 
-    def score(self, word: str) -> np.ndarray | None:
-        """Scores by language; None if no language uses the word's script."""
-        script = script_of(word)
-        allowed = np.array([script in s for s in self.scripts])
-        if not allowed.any():
-            return None
-        return np.where(allowed, self.logs[buckets_of(word)].mean(0), _NEVER)
+    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of words by language, and whether any language uses the word's script."""
+        buckets = [buckets_of(w) for w in words]
+        sizes = np.fromiter(map(len, buckets), np.int64, len(words))
+        sums = np.add.reduceat(self.logs[np.fromiter(chain.from_iterable(buckets), np.int64, int(sizes.sum()))], np.cumsum(sizes) - sizes, axis=0)
+        scripts = [script_of(w) for w in words]
+        of = {s: [s in have for have in self.scripts] for s in set(scripts)}
+        allowed = np.array([of[s] for s in scripts])
+        known = allowed.any(1)
+        return np.where(allowed, sums / sizes[:, None], np.where(known, _NEVER, 0.0)[:, None]), known
 
 
 def fit(labelled: DataFrame, per_language: int = 1500, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -130,23 +134,47 @@ def fit(labelled: DataFrame, per_language: int = 1500, id_col: str = "doc_id", t
     return Model(langs, logs.astype(np.float32), kept, max(range(len(langs)), key=lambda i: (sizes[langs[i]], -i)))
 
 
-class _Scores(dict):
+class _Scores:
     """Row of each distinct word in one growing table of scores."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.table = model, np.zeros((1 << 12, len(model.langs)), np.float32)
-        self.known, self.letters = np.zeros(1 << 12, bool), np.zeros(1 << 12, np.int64)
-
-    def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.table):
-            self.table, self.known, self.letters = (np.concatenate([x, np.zeros_like(x)]) for x in (self.table, self.known, self.letters))
-        scored = self.model.score(word)
-        self.known[at], self.letters[at] = scored is not None, len(word)
-        if scored is not None:
-            self.table[at] = scored
-        self[word] = at
-        return at
+        self.model, self.row = model, {}
+        self.table = np.zeros((0, len(model.langs)), np.float32)
+        self.known, self.letters = np.zeros(0, bool), np.zeros(0, np.int64)
+
+    def rows(self, words: list[list[str]], n: int) -> np.ndarray:
+        """Row of each of the n words, new ones added."""
+        row = self.row
+        new = list({w for ws in words for w in ws if w not in row})
+        if new:
+            row.update(zip(new, range(len(row), len(row) + len(new))))
+            scored, known = self.model.score(new)
+            self.table = np.concatenate([self.table, scored.astype(np.float32)])
+            self.known = np.concatenate([self.known, known])
+            self.letters = np.concatenate([self.letters, np.fromiter(map(len, new), np.int64, len(new))])
+        return np.fromiter(map(row.__getitem__, chain.from_iterable(words)), np.int64, n)
+
+
+def one_language(rows: np.ndarray, lengths: np.ndarray, table: np.ndarray, switch: float) -> tuple[np.ndarray, np.ndarray]:
+    """(language, certain) by document: the best single language, and whether no path with a switch can score more.
+
+    A stretch in other languages gains at most the sum of what the best other language gains per word, and costs a switch at
+    least. If no stretch gains more than that, the single language is the best path.
+    """
+    ends = np.cumsum(lengths)
+    language, certain = np.zeros(len(lengths), np.int64), np.ones(len(lengths), bool)
+    for d, (a, b) in enumerate(zip((ends - lengths).tolist(), ends.tolist())):
+        if a < b:
+            e = table[rows[a:b]].astype(np.float64)
+            best = int(e.sum(0).argmax())
+            language[d] = best
+            if e.shape[1] > 1:
+                own = e[:, best].copy()
+                e[:, best] = -np.inf
+                gained = np.cumsum(e.max(1) - own)
+                low = np.minimum.accumulate(np.concatenate(([0.0], gained[:-1])))
+                certain[d] = (gained - low).max() <= switch
+    return language, certain
 
 
 def viterbi(rows: np.ndarray, lengths: np.ndarray, table: np.ndarray, switch: float) -> np.ndarray:
@@ -189,9 +217,13 @@ def label_texts(texts: list[str | None], model: Model, scores: _Scores, switch:
     """Language, score and spans (language, words) of each text."""
     words = [words_of(t) for t in texts]
     lengths = np.array([len(w) for w in words], np.int64)
-    rows = np.fromiter((scores[w] for ws in words for w in ws), np.int64, int(lengths.sum()))
+    rows = scores.rows(words, int(lengths.sum()))
     del words
-    label = viterbi(rows, lengths, scores.table, switch)
+    # a text in one language needs no search; the others are searched together
+    language, certain = one_language(rows, lengths, scores.table, switch)
+    label = np.repeat(language, lengths).astype(np.uint8)
+    mixed = np.repeat(~certain, lengths)
+    label[mixed] = viterbi(rows[mixed], lengths[~certain], scores.table, switch)
     letters = scores.letters[rows]
     counted = np.where(scores.known[rows], letters, 0)
     doc = np.repeat(np.arange(len(texts)), lengths)
@@ -244,7 +276,7 @@ def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str =
                 lo += len(part)
                 found = [pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array([[{"lang": a, "words": n} for a, n in s] for s in spans], spans_type)]
                 yield pa.RecordBatch.from_arrays([*(rows.column(rows.schema.get_field_index(c)) for c in kept), *found], [*kept, *added])
-                if len(scores) > 1 << 19:  # the table of distinct words is rebuilt as needed
+                if len(scores.row) > 1 << 19:  # the table of distinct words is rebuilt as needed
                     scores = _Scores(m)
 
     return docs.mapInArrow(run, schema)

@@ -360,6 +360,22 @@ def test_viterbi_equals_dynamic_programme():
         at += n
 
 
+def test_one_language_is_the_best_path():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    table = rng.normal(size=(60, 3)).astype(np.float32)
+    table[:30, 1] += 1.0
+    lengths = rng.integers(0, 40, 200)
+    rows = np.concatenate([rng.integers(0, 60 if i % 2 else 30, n) for i, n in enumerate(lengths)])
+    found, certain = language.one_language(rows, lengths, table, 2.0)
+    label = language.viterbi(rows, lengths, table, 2.0)
+    at = np.cumsum(lengths) - lengths
+    assert 20 < certain.sum() < 180
+    for d in np.flatnonzero(certain & (lengths > 0)):
+        assert (label[at[d] : at[d] + lengths[d]] == found[d]).all()
+
+
 # --- 10 SimHash
 
 
