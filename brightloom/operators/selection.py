@@ -1,13 +1,14 @@
-"""Exact order statistics and quantiles in a few scans, without sorting the table.
+"""Exact order statistics and quantiles in four scans, without sorting the table.
 
-The built-in exact ``percentile`` keeps every distinct value of a column in one task. Here
-``percentile_approx`` names two values around each wanted rank, one scan counts what lies below, at and
-between them, and only a bracket known to hold at most ``PICK_ROWS`` rows is sorted. A larger one is cut
-again. A hot value ends the search as soon as it is a cut. All columns and ranks share the same scans.
+The built-in exact ``percentile`` keeps every distinct value of a column in one task. Here two pivots around each wanted rank
+come from a small sample, one scan counts what lies below and at them, and the next one writes only the values between the
+pivots to a narrow table. Pivots need not be good, as they are counted: a bracket that still holds many values is cut again,
+but in the narrow table. A hot value ends the search as soon as it is a pivot. All columns and ranks share the scans.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from fractions import Fraction
@@ -15,8 +16,11 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-PICK_ROWS = 100_000
-ACCURACY = 10_000
+from brightloom.staging import stage
+
+#: values of a bracket that are sorted in one group, and values of a sample from which pivots are taken
+PICK_ROWS = 10_000
+SAMPLE_ROWS = 4_000
 
 
 @dataclass
@@ -57,67 +61,100 @@ def _aggregate(df: DataFrame, columns: list[Column], width: int = 400) -> list[A
     return out
 
 
-def _narrow(df: DataFrame, large: list[_Bracket], accuracy: int) -> None:
-    """Cut each bracket at two of its own values around the wanted rank.
+def _pivots(sample: list[Any], p: float) -> tuple[Any, Any]:
+    """Two values of a sorted sample that very likely lie around the share ``p`` of all values; None where the sample ends."""
+    m = len(sample)
+    reach = 3.0 * math.sqrt(m * p * (1.0 - p)) + 2.0
+    lo, hi = math.floor(p * m - reach), math.ceil(p * m + reach)
+    if lo < 0 and hi >= m and m:  # a sample too small for two pivots still gives one
+        return sample[m // 2], sample[m // 2]
+    return sample[lo] if 0 <= lo < m else None, sample[hi] if 0 <= hi < m else None
+
 
-    The two values leave the bracket, so every round makes progress, however many rows share a value.
-    """
-    eps = 2.0 / accuracy
-    around = []
-    for b in large:
-        p = (b.rank - b.below + 0.5) / b.inside
-        around.append(F.percentile_approx(b.value(), [max(0.0, p - eps), min(1.0, p + eps)], accuracy))
-    cuts = _aggregate(df, around)
+def _cut(df: DataFrame, sampled: DataFrame, brackets: list[_Bracket]) -> None:
+    """Narrow each bracket by counted pivots."""
+    exprs: dict[int, Ask] = {id(b.ask): b.ask for b in brackets}
+    rows = sampled.select(*[a.expr.alias(f"x{i}") for i, a in enumerate(exprs.values())]).collect()  # about SAMPLE_ROWS rows
+    values = {k: sorted(r[i] for r in rows if r[i] is not None) for i, k in enumerate(exprs)}
+    cuts = [_pivots(values[id(b.ask)], (b.rank + 0.5) / b.inside) for b in brackets]
+    zero = F.lit(0).cast("long")
     tallies = []
-    for b, (lo, hi) in zip(large, cuts):
+    for b, (lo, hi) in zip(brackets, cuts):
         x = b.ask.expr
-        tallies += [F.count_if(x < F.lit(lo)), F.count_if(x <= F.lit(lo)), F.count_if(x < F.lit(hi)), F.count_if(x <= F.lit(hi))]
+        tallies += [F.count_if(x < F.lit(lo)), F.count_if(x <= F.lit(lo))] if lo is not None else [F.max(zero)] * 2
+        tallies += [F.count_if(x < F.lit(hi)), F.count_if(x <= F.lit(hi))] if hi is not None else [F.max(zero)] * 2
     got = _aggregate(df, tallies)
-    for i, (b, (lo, hi)) in enumerate(zip(large, cuts)):
-        under_lo, to_lo, under_hi, to_hi = got[4 * i : 4 * i + 4]
-        if b.rank < under_lo:
-            b.high, b.inside = lo, under_lo - b.below
-        elif b.rank < to_lo:
+    for i, (b, (lo, hi)) in enumerate(zip(brackets, cuts)):
+        under_lo, to_lo, under_hi, to_hi = (v or 0 for v in got[4 * i : 4 * i + 4])
+        if lo is not None and b.rank < under_lo:
+            b.high, b.inside = lo, under_lo
+        elif lo is not None and b.rank < to_lo:
             b.ask.found[b.rank] = lo
-        elif b.rank < under_hi:
-            b.low, b.high, b.below, b.inside = lo, hi, to_lo, under_hi - to_lo
+        elif hi is None or b.rank < under_hi:
+            b.low, b.below = lo, to_lo if lo is not None else 0
+            b.high, b.inside = hi, (under_hi if hi is not None else b.inside) - b.below
         elif b.rank < to_hi:
             b.ask.found[b.rank] = hi
         else:
-            b.low, b.below, b.inside = hi, to_hi, b.below + b.inside - to_hi
-
-
-def _pick(df: DataFrame, brackets: list[_Bracket]) -> None:
-    """Sort the values of each distinct (bounded) bracket and read the wanted places."""
-    shared: dict[tuple, list[_Bracket]] = {}
-    for b in brackets:
+            b.low, b.below, b.inside = hi, to_hi, b.inside - to_hi
+
+
+def _inside(df: DataFrame, groups: list[list[_Bracket]]) -> DataFrame:
+    """(b, v0, v1, ...): the values of each distinct bracket, a column per type."""
+    exprs = [g[0].value() for g in groups]
+    kinds = [f.dataType.simpleString() for f in df.select(*[e.alias(f"x{i}") for i, e in enumerate(exprs)]).schema]
+    columns = list(dict.fromkeys(kinds))
+    cells = [
+        F.when(e.isNotNull(), F.struct(F.lit(i).alias("b"), *[(e if k == kinds[i] else F.lit(None)).cast(k).alias(f"v{j}") for j, k in enumerate(columns)]))
+        for i, e in enumerate(exprs)
+    ]
+    narrow = df.select(F.explode(F.array(*cells)).alias("r")).filter("r is not null").select("r.*")
+    for i, k in enumerate(kinds):
+        groups[i].append(columns.index(k))  # the last entry of a group is its column
+    return stage(narrow, "inside")
+
+
+def order_statistics(df: DataFrame, asks: Sequence[Ask], pick_rows: int = PICK_ROWS, sample_rows: int = SAMPLE_ROWS) -> None:
+    """Fill ``ask.found[rank]`` for every ask. The table is scanned for a sample, for counts, and for the values between."""
+    work = [_Bracket(a, r, a.n) for a in asks for r in sorted(set(a.ranks)) if 0 <= r < a.n]
+    if not work:
+        return
+    most = max(b.ask.n for b in work)
+    if most > pick_rows:
+        _cut(df, df.sample(min(1.0, sample_rows / most), seed=7), work)
+    _settle(df, [b for b in work if b.rank not in b.ask.found], pick_rows, sample_rows)
+
+
+def _settle(df: DataFrame, work: list[_Bracket], pick_rows: int, sample_rows: int) -> None:
+    """Write the values of the brackets, sort the short ones and search the others in what was written."""
+    if not work:
+        return
+    shared: dict[tuple, list] = {}
+    for b in work:
         shared.setdefault((id(b.ask), b.low, b.high), []).append(b)
     groups = list(shared.values())
-    for i in range(0, len(groups), 60):
-        part = groups[i : i + 60]
-        values = df.agg(*[F.collect_list(g[0].value()).alias(f"v{j}") for j, g in enumerate(part)])
-        ordered = values.select(*[F.sort_array(f"v{j}").alias(f"v{j}") for j in range(len(part))])
-        row = ordered.select(
-            *[
-                F.array(*[F.element_at(f"v{j}", F.lit(b.rank - b.below + 1)) for b in g])
-                for j, g in enumerate(part)
-            ]
-        ).first()
-        for g, found in zip(part, row):
-            for b, v in zip(g, found):
+    narrow = _inside(df, groups)
+    short = {i: g for i, g in enumerate(groups) if g[0].inside <= pick_rows}
+    by_column: dict[int, list[int]] = {}
+    for i in short:
+        by_column.setdefault(groups[i][-1], []).append(i)
+    for column, wanted in by_column.items():
+        places = F.create_map(*[x for i in wanted for x in (F.lit(i), F.array(*[F.lit(b.rank - b.below + 1) for b in groups[i][:-1]]))])
+        ordered = narrow.filter(F.col("b").isin(wanted)).groupBy("b").agg(F.sort_array(F.collect_list(f"v{column}")).alias("v"))
+        for r in ordered.select("b", F.transform(places[F.col("b")], lambda p: F.element_at("v", p)).alias("f")).collect():
+            for b, v in zip(groups[r["b"]][:-1], r["f"]):
                 b.ask.found[b.rank] = v
-
-
-def order_statistics(
-    df: DataFrame, asks: Sequence[Ask], pick_rows: int = PICK_ROWS, accuracy: int = ACCURACY
-) -> None:
-    """Fill ``ask.found[rank]`` for every ask."""
-    work = [_Bracket(a, r, a.n) for a in asks for r in sorted(set(a.ranks)) if 0 <= r < a.n]
-    while large := [b for b in work if b.inside > pick_rows]:
-        _narrow(df, large, accuracy)
-        work = [b for b in work if b.rank not in b.ask.found]
-    if work:
-        _pick(df, work)
+    long = [i for i in range(len(groups)) if i not in short]
+    if not long:
+        return
+    inner = {i: Ask(F.when(F.col("b") == i, F.col(f"v{groups[i][-1]}")), groups[i][0].inside, [b.rank - b.below for b in groups[i][:-1]]) for i in long}
+    again = [_Bracket(a, r, a.n) for a in inner.values() for r in sorted(set(a.ranks))]
+    # a sample of each bracket of its own size, so that every bracket is cut
+    _cut(narrow, narrow.sampleBy("b", {i: min(1.0, sample_rows / a.n) for i, a in inner.items()}, seed=7), again)
+    _settle(narrow, [b for b in again if b.rank not in b.ask.found], pick_rows, sample_rows)
+    for i, a in inner.items():
+        for b in groups[i][:-1]:
+            b.ask.found[b.rank] = a.found[b.rank - b.below]
 
 
 def counts(df: DataFrame, exprs: Sequence[Column]) -> list[int]:
@@ -160,6 +197,6 @@ def exact_quantiles(
 def approx_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> list[list[Any]]:
     """One-scan approximate variant with the same result shape."""
     got = df.agg(
-        *[F.percentile_approx(F.col(c), list(probabilities), ACCURACY).alias(f"a{i}") for i, c in enumerate(columns)]
+        *[F.percentile_approx(F.col(c), list(probabilities), 10_000).alias(f"a{i}") for i, c in enumerate(columns)]
     ).first()
     return [list(g) if g is not None else [None] * len(probabilities) for g in got]

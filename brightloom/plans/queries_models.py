@@ -514,25 +514,30 @@ def _sales_features_sql() -> str:
                 wide[f"{c}_rolling_{w}_{name}"] = value if least == 1 else f"CASE WHEN count(*) OVER w{w} >= {least} THEN {value} END"
         wide[f"{c}_zscore"] = f"({c} - (SELECT avg({c}) FROM sales)) / (SELECT stddev_pop({c}) FROM sales)"
         wide[f"{c}_percentile"] = f"(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2) / (SELECT count({c}) FROM sales)"
-    d = "date"
+    for n in ("date", "order_date", "l_shipdate"):
+        d = f"CAST({n} AS DATE)"
+        wide |= {
+            f"{n}_year": f"year({d})", f"{n}_month": f"month({d})", f"{n}_quarter": f"quarter({d})", f"{n}_day": f"day({d})",
+            f"{n}_dayofweek": f"isodow({d}) - 1", f"{n}_dayofyear": f"dayofyear({d})", f"{n}_week": f"weekofyear({d})",
+            f"{n}_is_weekend": f"CAST(isodow({d}) >= 6 AS INTEGER)", f"{n}_is_month_start": f"CAST(day({d}) = 1 AS INTEGER)",
+            f"{n}_is_month_end": f"CAST(last_day({d}) = {d} AS INTEGER)",
+            f"{n}_is_quarter_start": f"CAST(day({d}) = 1 AND month({d}) % 3 = 1 AS INTEGER)",
+            f"{n}_is_quarter_end": f"CAST(last_day({d}) = {d} AND month({d}) % 3 = 0 AS INTEGER)",
+            f"{n}_month_sin": f"sin(2 * pi() * month({d}) / 12)", f"{n}_month_cos": f"cos(2 * pi() * month({d}) / 12)",
+            f"{n}_day_sin": f"sin(2 * pi() * day({d}) / 31)", f"{n}_day_cos": f"cos(2 * pi() * day({d}) / 31)",
+        }
     wide |= {
-        "date_year": f"year({d})", "date_month": f"month({d})", "date_quarter": f"quarter({d})", "date_day": f"day({d})",
-        "date_dayofweek": f"isodow({d}) - 1", "date_dayofyear": f"dayofyear({d})", "date_week": f"weekofyear({d})",
-        "date_is_weekend": f"CAST(isodow({d}) >= 6 AS INTEGER)", "date_is_month_start": f"CAST(day({d}) = 1 AS INTEGER)",
-        "date_is_month_end": f"CAST(last_day({d}) = CAST({d} AS DATE) AS INTEGER)",
-        "date_is_quarter_start": f"CAST(day({d}) = 1 AND month({d}) % 3 = 1 AS INTEGER)",
-        "date_is_quarter_end": f"CAST(last_day({d}) = CAST({d} AS DATE) AND month({d}) % 3 = 0 AS INTEGER)",
-        "date_month_sin": f"sin(2 * pi() * month({d}) / 12)", "date_month_cos": f"cos(2 * pi() * month({d}) / 12)",
-        "date_day_sin": f"sin(2 * pi() * day({d}) / 31)", "date_day_cos": f"cos(2 * pi() * day({d}) / 31)",
         "unit_price": "sales_amount / (quantity + 1e-8::DOUBLE)",
         "high_value_sale": "CAST(sales_amount > (SELECT quantile_cont(sales_amount, 0.9) FROM sales) AS INTEGER)",
         "profit_margin": "profit / (sales_amount + 1e-8::DOUBLE)", "profitable": "CAST(profit > 0 AS INTEGER)",
         "region_avg_sales": "avg(sales_amount) OVER (PARTITION BY region)", "region_sales_std": "stddev_samp(sales_amount) OVER (PARTITION BY region)",
         "region_sales_count": "count(sales_amount) OVER (PARTITION BY region)",
     }
-    for c in (*fx.SALES_MEASURES, "unit_price", "profit_margin"):
+    # whole numbers of 32 bits (calendar parts, 0/1 columns) are not judged, as in the operator
+    small = ("_year", "_month", "_quarter", "_day", "_dayofweek", "_dayofyear", "_week", "_is_weekend", "_start", "_end")
+    for c in (*fx.SALES_MEASURES, *(c for c in wide if not c.endswith(small) and c not in ("high_value_sale", "profitable"))):
         a, b = f"(SELECT quantile_cont({c}, 0.25) FROM wide)", f"(SELECT quantile_cont({c}, 0.75) FROM wide)"
-        flags[f"{c}_outlier"] = f"CAST({c} < {a} - 1.5 * ({b} - {a}) OR {c} > {b} + 1.5 * ({b} - {a}) AS INTEGER)"
+        flags[f"{c}_outlier"] = f"coalesce(CAST({c} < {a} - 1.5 * ({b} - {a}) OR {c} > {b} + 1.5 * ({b} - {a}) AS INTEGER), 0)"
     frames = ", ".join(f"w{w} AS (ORDER BY {order} ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)" for w in (7, 30, 90))
     every = [*base, *wide, *flags]
     profile = " UNION ALL ".join(

@@ -9,7 +9,7 @@ QS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 
 def small(monkeypatch):
-    monkeypatch.setattr(selection.order_statistics, "__defaults__", (8, 20))
+    monkeypatch.setattr(selection.order_statistics, "__defaults__", (40, 80))
 
 
 @pytest.mark.parametrize("kind", ["spread", "hot", "integers", "two"])
