@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightloom.fixtures import table
-from brightloom.llm import decontaminate, language, lines, merkle, mixing, secrets, simhash, substrings, tokens, urls
+from brightloom.llm import decontaminate, language, lines, merkle, mixing, oracle, secrets, simhash, substrings, tokens, urls
 from brightloom.staging import stage
 
 
@@ -52,7 +52,7 @@ def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op7_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     sizes = stage(mixing.with_size(table(spark, sf, "documents")).select("doc_id", "source", "size"), "sizes")
     planned = mixing.plan_mix(sizes, sizes)
-    return planned.select("doc_id", "size", "source_size", "target", "taken", F.when(F.col("copies") > 0, mixing.position(0)).alias("first_position"))
+    return planned.select("doc_id", "size", "source_size", "target", "taken", F.when(F.col("copies") > 0, F.round(mixing.position(0), 9)).alias("first_position"))
 
 
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,4 +83,4 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(oracle.SQL)

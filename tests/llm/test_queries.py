@@ -1,0 +1,48 @@
+import os
+
+import corpus_pipeline
+import pytest
+
+from brightloom.llm import queries
+from compare import compare, duck
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_sql(spark, name):
+    assert compare(spark, SF, queries.QUERIES[name], queries.SQL[name], duck(SF)) is None
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
+def test_query_covers_its_table(spark, name):
+    table = "pages" if name.startswith("op5") else "documents"
+    assert queries.QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
+def test_pipeline_stages_keep_their_contract(spark, docs, tmp_path):
+    """Each stage against plain rules on its own input: language, lines, one of each group, no phrase left, the mix."""
+    import brute
+
+    bench = spark.createDataFrame([(1, " ".join(f"word{i}" for i in range(12)))], "item_id long, text string")
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    more = spark.createDataFrame([(500, "Before. " + " ".join(f"word{i}" for i in range(12)) + " after it all ends.", "en", "s1", 0, 1, 0.5, "x"), (501, "123", "en", "s1", 0, 1, 0.5, "x")], docs.schema)
+    now = docs.unionByName(more)
+    seen = []
+    for name, step in corpus_pipeline.STAGES:
+        before = [(r.doc_id, r.text) for r in now.collect()]
+        step(spark, now, str(tmp_path)).write.parquet(str(tmp_path / name.replace(" ", "_")))
+        now = spark.read.parquet(str(tmp_path / name.replace(" ", "_")))
+        after = [(r.doc_id, r.text) for r in now.collect()]
+        seen.append((before, after))
+        if name != "source mix":
+            assert now.columns == docs.columns
+    (a, b), (_, c), (_, d), (_, e), (_, f) = seen
+    assert {i for i, t in a if not any(ch.isalpha() for ch in t or "")} == {60, 61, 62, 501} and len(a) - len(b) >= 4
+    assert sorted(c, key=str) == sorted(zip([i for i, _ in b], brute.kept_lines(b)), key=str)
+    groups = brute.components([brute.simhash(t) for _, t in c])
+    assert len(d) == len(set(groups)) and set(d) <= set(c)
+    assert sum(r[1] for r in brute.contamination(e, [(1, " ".join(f"word{i}" for i in range(12)))]).values()) == 0
+    assert dict(e)[500] == "Before.   after it all ends." and len(e) == len(d)
+    assert {i for i, _ in f} <= {i for i, _ in e} and {"copy", "position"} <= set(now.columns)
