@@ -95,11 +95,3 @@ def interactions(df: DataFrame, columns: Sequence[str] | None = None, max_intera
         made[f"{a}_diff_{b}"] = F.col(a) - F.col(b)
     return df.withColumns(made) if made else df
 
-
-def minmax_scale(c: Column, low: float, high: float) -> Column:
-    """Scale to [0, 1]; a constant column maps to 0."""
-    return (c - F.lit(low)) / F.lit((high - low) or 1.0)
-
-
-def minmax_unscale(c: Column, low: float, high: float) -> Column:
-    return c * F.lit((high - low) or 1.0) + F.lit(low)

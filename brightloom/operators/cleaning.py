@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brightloom.functions.expressions import numeric_columns, string_columns
 from brightloom.operators.selection import approx_quantiles, exact_quantiles
@@ -96,19 +96,36 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
 def impute_mode(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Fill string gaps with the mode, or 'Unknown' when a column has no value at all."""
     cols = list(columns) if columns is not None else string_columns(df)
+    if not cols:
+        return df
+    # values are counted in the columns that have gaps, and in no other
+    gaps = df.agg(*[F.max(F.col(c).isNull()).alias(f"g{i}") for i, c in enumerate(cols)]).first()
+    cols = [c for i, c in enumerate(cols) if gaps[f"g{i}"]]
     found = modes(df, cols)
     return _fill(df, {c: found.get(c, "Unknown") for c in cols})
 
 
-def parse_dates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Parse text columns whose name holds 'date' or 'time'; text that is no date becomes null.
+#: fixed values: forms tried after ISO text, in this order; of 3/4/2023 the month comes first
+DATE_FORMS = ("yyyyMMdd", "M/d/yyyy[ H:mm[:ss]]", "M-d-yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]", "MMM d, yyyy[ H:mm[:ss]]", "MMMM d, yyyy[ H:mm[:ss]]", "d MMM yyyy[ H:mm[:ss]]", "d MMMM yyyy[ H:mm[:ss]]")
+
+
+def tolerant_date(c: Column, forms: Sequence[str] = DATE_FORMS) -> Column:
+    """A date or time from ISO text or one of ``forms``, else null. Eight digits are a date, not a year."""
+    text = F.trim(c)
+    tried = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in forms]
+    iso = F.when(~text.rlike("^[0-9]+$") | (F.length(text) <= 4), text.try_cast("timestamp_ntz"))
+    return F.coalesce(iso, *tried)
+
+
+def parse_dates(df: DataFrame, columns: Sequence[str] | None = None, forms: Sequence[str] = DATE_FORMS) -> DataFrame:
+    """Parse text columns whose name holds 'date' or 'time', see ``tolerant_date``; text that is no date becomes null.
 
     Numeric columns are never parsed (``lifetime_value`` contains 'time').
     """
     cols = columns
     if cols is None:
         cols = [c for c in string_columns(df) if "date" in c.lower() or "time" in c.lower()]
-    return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in cols}) if cols else df
+    return df.withColumns({c: tolerant_date(F.col(c), forms) for c in cols}) if cols else df
 
 
 def clean_sales(df: DataFrame, approx: bool = False) -> DataFrame:

@@ -271,7 +271,12 @@ _RFM = f"""{SALES}, base AS (SELECT customer_id, CAST(floor((epoch_us((SELECT ma
  scores AS (SELECT customer_id, recency, frequency, monetary, CAST(6 - greatest(1, (5 * rr + m - 1) // m) AS INTEGER) AS r_score,
  CAST(greatest(1, (5 * fr + m - 1) // m) AS INTEGER) AS f_score, CAST(greatest(1, (5 * mr + m - 1) // m) AS INTEGER) AS m_score FROM ranked),
  labelled AS (SELECT *, CAST(r_score AS VARCHAR) || f_score || m_score AS rfm_score FROM scores),
- segments AS (SELECT *, CASE {' '.join("WHEN rfm_score IN (" + ", ".join(f"'{s}'" for s in scores) + f") THEN '{name}'" for name, scores in rfm.SEGMENTS)} ELSE 'Others' END AS customer_segment FROM labelled)"""
+ segments AS (SELECT *, CASE WHEN rfm_score IN ('555', '554', '544', '545', '454', '455', '445') THEN 'Champions'
+ WHEN rfm_score IN ('543', '444', '435', '355', '354', '345', '344', '335') THEN 'Loyal Customers'
+ WHEN rfm_score IN ('512', '511', '422', '421', '412', '411', '311') THEN 'Potential Loyalists'
+ WHEN rfm_score IN ('522', '521', '431', '432', '441', '531') THEN 'New Customers'
+ WHEN rfm_score IN ('155', '154', '144', '214', '215', '115', '114') THEN 'At Risk'
+ WHEN rfm_score IN ('254') THEN 'Cannot Lose Them' ELSE 'Others' END AS customer_segment FROM labelled)"""
 
 
 @query

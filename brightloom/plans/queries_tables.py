@@ -319,7 +319,12 @@ SQL["clean_mode_impute"] = f"""{DIRTY}, m AS (SELECT region FROM dirty WHERE reg
 
 @query
 def clean_parse_dates(spark: SparkSession, sf: str) -> DataFrame:
-    out = cleaning.parse_dates(fx.sales_dirty(spark, sf))
+    """Dates in five written forms, and text that is none."""
+    d = fx.sales_dirty(spark, sf)
+    at = F.col("date_text").try_cast("timestamp_ntz")
+    forms = ["yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "yyyyMMdd", "MMM d, yyyy", "d MMMM yyyy"]
+    written = F.coalesce(*[F.when(F.col("order_id") % 5 == i, F.date_format(at, f)) for i, f in enumerate(forms)], F.col("date_text"))
+    out = cleaning.parse_dates(d.withColumn("date_text", written))
     return out.select("order_id", "l_linenumber", "l_partkey", F.date_format("date_text", "yyyy-MM-dd HH:mm:ss").alias("date_text"))
 
 
@@ -333,9 +338,11 @@ def mask_pii_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _masked(c: str) -> str:
-    from brightloom.functions.expressions import PII_PATTERNS
-
-    for kind, pattern in PII_PATTERNS:
+    patterns = (
+        ("credit_card", r"\b[0-9]{4}[- ]?[0-9]{4}[- ]?[0-9]{4}[- ]?[0-9]{4}\b"), ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"),
+        ("phone", r"\+?[0-9]{0,3}[-. ]?\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}\b"), ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"),
+    )
+    for kind, pattern in patterns:
         c = f"regexp_replace({c}, '{pattern}', '[{kind.upper()}]', 'g')"
     return c
 
