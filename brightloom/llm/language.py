@@ -247,7 +247,7 @@ def label_texts(texts: list[str | None], model: Model, scores: _Scores, switch:
     return names, shares, spans
 
 
-def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str = "text", batch_chars: int = 1 << 24, added: tuple[str, str, str] = ("lang_pred", "score", "spans")) -> DataFrame:
+def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str = "text", batch_chars: int = 1 << 23, added: tuple[str, str, str] = ("lang_pred", "score", "spans")) -> DataFrame:
     """``docs`` with the columns ``added``: language, score and spans, (lang, words) in order.
 
     Input columns of these names are replaced, all others stay as they are.
@@ -276,7 +276,7 @@ def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str =
                 lo += len(part)
                 found = [pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array([[{"lang": a, "words": n} for a, n in s] for s in spans], spans_type)]
                 yield pa.RecordBatch.from_arrays([*(rows.column(rows.schema.get_field_index(c)) for c in kept), *found], [*kept, *added])
-                if len(scores.row) > 1 << 19:  # the table of distinct words is rebuilt as needed
+                if len(scores.row) > 1 << 18:  # the table of distinct words is rebuilt as needed
                     scores = _Scores(m)
 
     return docs.mapInArrow(run, schema)
