@@ -6,14 +6,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, _id string"
-WORDS = "the of and stream over night river stone cold light paper glass winter summer green token years found".split()
-
-
-def prose(rng, n):
-    return " ".join(rng.choice(WORDS) + rng.choice(["", "", "s", "ed", "ñ"]) for _ in range(n))
-
+from brute import prose  # noqa: E402
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, _id string"
 @pytest.fixture(scope="session")
 def corpus():
     """(id, text) rows: nulls, empty and long texts, copies, near copies, shared passages, repeated rows and ids."""

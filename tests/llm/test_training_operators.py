@@ -4,10 +4,10 @@ import zlib
 
 import brute
 import pytest
+from brute import prose
 from pyspark.sql import functions as F
 
 from brightloom.llm import decontaminate, language, lines, merkle, mixing, secrets, simhash, substrings, tokens, urls
-from conftest import prose
 
 
 def by_text(df, *cols):
