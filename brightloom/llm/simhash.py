@@ -255,9 +255,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col
 
 def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component, see ``near_duplicates``; all columns stay."""
-    near = near_duplicates(docs, shingle, max_bits, id_col, text_col).filter("is_first")
+    return only_first(docs, near_duplicates(docs, shingle, max_bits, id_col, text_col), id_col, text_col)
+
+
+def only_first(docs: DataFrame, near: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each (doc_id, digest) that ``near`` marks as first; all columns stay."""
     last = F.lit((1 << 63) - 1)
-    chosen = near.select(F.coalesce("doc_id", last).alias("_id"), F.col("digest").alias("_digest")).distinct()
+    chosen = near.filter("is_first").select(F.coalesce("doc_id", last).alias("_id"), F.col("digest").alias("_digest")).distinct()
     packed = docs.select(
         F.coalesce(F.col(id_col).cast("long"), last).alias("_id"), F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("_digest"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),

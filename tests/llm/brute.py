@@ -128,3 +128,26 @@ WORDS = "the of and stream over night river stone cold light paper glass winter
 
 def prose(rng, n):
     return " ".join(rng.choice(WORDS) + rng.choice(["", "", "s", "ed", "ñ"]) for _ in range(n))
+
+
+def shingles(text, n=5):
+    w = (text or "").encode().translate(LOWER).split()
+    return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
+
+
+def similar_components(texts, n=5, tenths=8):
+    """Smallest index reachable from each index by Jaccard similarity of at least ``tenths`` / 10; empty sets are equal."""
+    sets = [shingles(t, n) for t in texts]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] == sets[j] or 10 * len(sets[i] & sets[j]) >= tenths * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(sets))]
