@@ -213,8 +213,8 @@ def viterbi(rows: np.ndarray, lengths: np.ndarray, table: np.ndarray, switch: fl
     return label
 
 
-def label_texts(texts: list[str | None], model: Model, scores: _Scores, switch: float) -> tuple[list[str], list[float], list[list[tuple[str, int]]]]:
-    """Language, score and spans (language, words) of each text."""
+def label_texts(texts: list[str | None], model: Model, scores: _Scores, switch: float) -> tuple[list[str], list[float], list[list[tuple[str, int]]], list[float]]:
+    """Language, score, spans (language, words) and the share of letters in any language, of each text."""
     words = [words_of(t) for t in texts]
     lengths = np.array([len(w) for w in words], np.int64)
     rows = scores.rows(words, int(lengths.sum()))
@@ -237,6 +237,7 @@ def label_texts(texts: list[str | None], model: Model, scores: _Scores, switch:
     for d, l, w in zip(doc[edge].tolist(), label[edge].tolist(), width.tolist()):
         spans[d].append((model.langs[l], w))
     names, shares = [], []
+    covered = (by.sum(1) / np.maximum(total, 1)).tolist()
     for i in range(len(texts)):
         if not total[i]:
             names.append(UNKNOWN)
@@ -244,11 +245,12 @@ def label_texts(texts: list[str | None], model: Model, scores: _Scores, switch:
         else:
             names.append(model.langs[int(best[i]) if by[i, best[i]] else model.common])
             shares.append(float(by[i, best[i]] / total[i]))
-    return names, shares, spans
+    return names, shares, spans, covered
 
 
-def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str = "text", batch_chars: int = 1 << 23, added: tuple[str, str, str] = ("lang_pred", "score", "spans")) -> DataFrame:
-    """``docs`` with the columns ``added``: language, score and spans, (lang, words) in order.
+def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str = "text", batch_chars: int = 1 << 23, added: tuple[str, ...] = ("lang_pred", "score", "spans")) -> DataFrame:
+    """``docs`` with the columns ``added``: language, score, spans, (lang, words) in order, and, if a fourth is named, the share
+    of letters whose word was scored for a language.
 
     Input columns of these names are replaced, all others stay as they are.
     """
@@ -257,7 +259,7 @@ def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str =
     at = docs.columns.index(text_col)
     kept = [c for c in docs.columns if c not in added]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept) + (
-        f", `{added[0]}` string, `{added[1]}` double, `{added[2]}` array<struct<lang:string,words:long>>"
+        f", `{added[0]}` string, `{added[1]}` double, `{added[2]}` array<struct<lang:string,words:long>>" + "".join(f", `{c}` double" for c in added[3:])
     )
     spans_type = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
 
@@ -269,12 +271,13 @@ def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str =
             texts, lo = b.column(at).to_pylist(), 0
             for part in slices(texts, lambda t: len(t or "") + 1, batch_chars):
                 if m.langs:
-                    names, shares, spans = label_texts(part, m, scores, switch)
+                    names, shares, spans, covered = label_texts(part, m, scores, switch)
                 else:
-                    names, shares, spans = [UNKNOWN] * len(part), [0.0] * len(part), [[] for _ in part]
+                    names, shares, spans, covered = [UNKNOWN] * len(part), [0.0] * len(part), [[] for _ in part], [0.0] * len(part)
                 rows = b.slice(lo, len(part))
                 lo += len(part)
                 found = [pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array([[{"lang": a, "words": n} for a, n in s] for s in spans], spans_type)]
+                found += [pa.array(covered, pa.float64())] * len(added[3:])
                 yield pa.RecordBatch.from_arrays([*(rows.column(rows.schema.get_field_index(c)) for c in kept), *found], [*kept, *added])
                 if len(scores.row) > 1 << 18:  # the table of distinct words is rebuilt as needed
                     scores = _Scores(m)
@@ -288,6 +291,6 @@ def held_out(doc_id: Column) -> Column:
 
 
 def keep_known(docs: DataFrame, least: float = 0.5, text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without those of unknown language or of a score below ``least``; learns from all rows that name a language."""
-    found = predict(docs, fit(docs, text_col=text_col, **options), text_col=text_col, added=("__lang", "__score", "__spans"))
-    return found.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without those of which under ``least`` of the letters are in learned languages, in one or in several."""
+    found = predict(docs, fit(docs, text_col=text_col, **options), text_col=text_col, added=("__lang", "__score", "__spans", "__known"))
+    return found.filter((F.col("__lang") != UNKNOWN) & (F.col("__known") >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])
