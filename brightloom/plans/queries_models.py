@@ -409,14 +409,10 @@ def _seasonal_sql() -> str:
 
 SQL["fc_seasonal_fixed"] = _seasonal_sql()
 
-#: trees and horizons of the registered queries: the library's defaults are 1,000 trees and every day up to 90
-_TREES, _TREE_DAYS = 20, (1, 2, 3, 5, 7, 14, 21, 30, 45, 60, 75, 90)
-
-
 @query
 def fc_gbt(spark: SparkSession, sf: str) -> DataFrame:
     s = _daily(spark, sf)
-    return _days(fm.forecast_gbt(fm.fit_gbt(s, trees=_TREES, horizons=_TREE_DAYS), s))
+    return _days(fm.forecast_gbt(fm.fit_gbt(s), s))
 
 
 SQL["fc_gbt"] = _DAYS_SQL
@@ -425,7 +421,7 @@ SQL["fc_gbt"] = _DAYS_SQL
 @query
 def fc_holdout(spark: SparkSession, sf: str) -> DataFrame:
     """Days on which each model of the ensemble is judged: the whole holdout; the weights of a series add up to 1."""
-    fitted = fm.fit_ensemble(_daily(spark, sf), trees=2, depth=3, horizons=(1, 90))
+    fitted = fm.fit_ensemble(_daily(spark, sf))
     return fitted.metrics.join(fitted.weights, ["series_id", "model"]).groupBy("series_id").agg(
         F.count(F.lit(1)).alias("n_models"), F.min("n_days").alias("least_days"), F.max("n_days").alias("most_days"), r(F.sum("weight"), 6).alias("weights"))
 
@@ -437,7 +433,7 @@ SQL["fc_holdout"] = f"""{DAILY}, n AS (SELECT series_id, count(*) - CAST(floor(c
 @query
 def fc_table(spark: SparkSession, sf: str) -> DataFrame:
     """The 90-day ensemble forecast: days, and how often the bounds of three levels lie around each other in order."""
-    blended, _, _ = fm.ensemble(_daily(spark, sf), trees=_TREES, horizons=_TREE_DAYS)
+    blended, _, _ = fm.ensemble(_daily(spark, sf))
     both = ff.forecast_table(ff.with_levels(blended, (0.8, 0.9))).withColumnRenamed("date", "ds").join(
         ff.with_levels(blended, (0.8, 0.9)).select("series_id", "ds", "lower_80", "upper_80", "lower_90", "upper_90"), ["series_id", "ds"])
     nested = F.lit(True)
@@ -467,7 +463,7 @@ SQL["fc_tune"] = f"{DAILY} SELECT DISTINCT series_id, CAST(50 AS BIGINT) AS n_tr
 @query
 def fc_persist(spark: SparkSession, sf: str) -> DataFrame:
     """Largest difference between an ensemble's forecasts before saving and after loading it again."""
-    fitted = fm.fit_ensemble(_daily(spark, sf), trees=5, depth=3, horizons=(1, 30, 90))
+    fitted = fm.fit_ensemble(_daily(spark, sf))
     path = stage_path(spark, "saved-ensemble")
     fitted.save(path)
     before = fitted.forecast().select("series_id", "ds", F.col("yhat").alias("a"))
