@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: XML-style white space of the word rules: space and the ASCII controls 9 to 13
@@ -50,3 +52,17 @@ def slices(rows: Iterable, weight, most: int) -> Iterator[list]:
         total += w
     if held:
         yield held
+
+
+def batch_slices(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut by the bytes of a string column, before anything of it is decoded. A longer text is a slice of its own."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(lengths, dtype=np.int64), 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            until = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(at, until - at)
+            at = until

@@ -46,4 +46,36 @@ def _mix() -> str:
  FROM d JOIN p0 ON d.src IS NOT DISTINCT FROM p0.src LEFT JOIN last l ON l.doc_id = d.doc_id AND l.src IS NOT DISTINCT FROM d.src) x"""
 
 
-SQL = {"op1_decontaminate": DECONTAMINATE, "op7_source_mix": _mix()}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+COLLOCATIONS = f"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ words AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+ totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY 1),
+ grams AS (SELECT lang, k, w[i : i + k - 1] AS p FROM (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) t(k) WHERE len(w) >= k)),
+ f AS MATERIALIZED (SELECT lang, k, p, CAST(count(*) AS HUGEINT) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+ cand AS (SELECT * FROM f WHERE k > 1),
+ kept AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM cand o, range(1, 5) t(i) WHERE o.lang = c.lang AND o.k > c.k AND i <= o.k - c.k + 1 AND o.p[i : i + c.k - 1] = c.p AND 100 * o.a >= 100 * c.a)),
+ cuts AS (SELECT c.lang, c.p, c.a, j, l.a AS l, r.a AS r, n, 1000::HUGEINT * c.a * n // (l.a * r.a) AS score FROM kept c JOIN range(1, 5) t(j) ON j < c.k
+ JOIN f l ON l.lang = c.lang AND l.p = c.p[1 : j] JOIN f r ON r.lang = c.lang AND r.p = c.p[j + 1 : c.k] JOIN totals ON totals.lang = c.lang),
+ best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+ ranked AS (SELECT *, array_to_string(p, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM best)
+ SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000"""
+
+DIVERGENCE = f"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+ groups AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+ t AS (SELECT lang, source, row_number() OVER () AS i, w FROM d), u AS (SELECT lang, source, i, unnest(w) AS term FROM t),
+ kept AS MATERIALIZED (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM u GROUP BY 1, 2 HAVING count(DISTINCT i) >= 10),
+ sizes AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY 1),
+ cells AS MATERIALIZED (SELECT u.lang, source, u.term, CAST(count(*) AS HUGEINT) AS n FROM u JOIN kept k ON u.lang = k.lang AND u.term = k.term GROUP BY 1, 2, 3),
+ sums AS (SELECT lang, source, sum(n) AS total FROM cells GROUP BY 1, 2),
+ p AS MATERIALIZED (SELECT k.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(s.total, 0) + 2 * z.v) AS p, 1 + 1000000000::HUGEINT * (k.n + 2) // (z.total + 2 * z.v) AS q
+ FROM kept k JOIN groups g ON g.lang = k.lang JOIN sizes z ON z.lang = k.lang LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source LEFT JOIN cells c ON c.lang = k.lang AND c.source = g.source AND c.term = k.term),
+ pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+ every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+ LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+ UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+
+SQL = {"op1_decontaminate": DECONTAMINATE, "op7_source_mix": _mix(), "op11_collocations": COLLOCATIONS, "op12_divergence": DIVERGENCE}

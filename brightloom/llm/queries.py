@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightloom.fixtures import table
-from brightloom.llm import decontaminate, language, lines, merkle, mixing, oracle, secrets, simhash, substrings, tokens, urls
+from brightloom.llm import collocations, decontaminate, divergence, language, lines, merkle, mixing, oracle, secrets, simhash, substrings, tokens, urls
 from brightloom.staging import stage
 
 
@@ -71,6 +71,14 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_fingerprints": op2_fingerprints,
@@ -82,5 +90,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
+    "op11_collocations": op11_collocations,
+    "op12_divergence": op12_divergence,
 }
 SQL: dict[str, str] = dict(oracle.SQL)
