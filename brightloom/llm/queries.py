@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightloom.fixtures import table
-from brightloom.llm import collocations, decontaminate, divergence, language, lines, merkle, mixing, oracle, secrets, simhash, substrings, tokens, urls
+from brightloom.llm import collocations, decontaminate, divergence, flatgraph, language, lines, merkle, mixing, oracle, secrets, simhash, substrings, tokens, urls
 from brightloom.staging import stage
 
 
@@ -79,6 +79,10 @@ def op12_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.audit(table(spark, sf, "documents"))
 
 
+def op13_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return flatgraph.near_duplicates(table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_fingerprints": op2_fingerprints,
@@ -92,5 +96,6 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_collocations": op11_collocations,
     "op12_divergence": op12_divergence,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 SQL: dict[str, str] = dict(oracle.SQL)
