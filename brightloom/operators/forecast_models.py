@@ -1,4 +1,4 @@
-"""Forecasters over many daily series: autoregressive ridge, seasonal ridge, boosted trees, and search.
+"""Forecasters over many daily series: autoregressive ridge, seasonal ridge, and the ensemble of both with boosted trees.
 
 Each fitted per-series model is a row of a table, so models are saved, loaded and joined like data. Groups
 handed to Python are single daily series (one row per calendar day at most).
@@ -6,20 +6,15 @@ handed to Python are single daily series (one row per calendar day at most).
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from brightloom.functions.calendar import FORECAST_CALENDAR, forecast_calendar
-from brightloom.operators.forecast_frames import (
-    HORIZON, LOOKBACK, Z, accuracy, blend, forecast_features, inverse_rmse_weights, split_by_time,
-)
+from brightloom.operators.boosting import fit_gbt, forecast_gbt
+from brightloom.operators.forecast_frames import HORIZON, LOOKBACK, Z, accuracy, blend, inverse_rmse_weights, split_by_time, with_horizon
 from brightloom.staging import stage
 from brightloom.unions import union_all
 
@@ -70,13 +65,6 @@ def _recurse(coef: np.ndarray, recent: Sequence[float], steps: int) -> np.ndarra
     return known[len(recent) :]
 
 
-def with_horizon(models: DataFrame, horizon: int | DataFrame) -> DataFrame:
-    """Add ``horizon``: one number for all series, or (series_id, horizon) rows, a row per series."""
-    if isinstance(horizon, DataFrame):
-        return models.join(horizon.select("series_id", F.col("horizon").cast("int").alias("horizon")), "series_id")
-    return models.withColumn("horizon", F.lit(int(horizon)))
-
-
 def forecast_ar(models: DataFrame, horizon: int | DataFrame = HORIZON, level: float = 0.95) -> DataFrame:
     """Recursive forecast of every model row; bounds are the training residuals' deviation times z."""
     z = Z[level]
@@ -156,89 +144,28 @@ def forecast_seasonal(
     )
 
 
-# --- boosted trees --------------------------------------------------------------------------------
-
-_ORIGIN = [f"lag_{k}" for k in (1, 7, 30)] + [f"rolling_{s}_{w}" for w in (7, 14, 30) for s in ("mean", "std", "min", "max")]
-_TARGET_CALENDAR = list(FORECAST_CALENDAR)
-GBT_FEATURES = ["level_now", *[f"{c}_rel" for c in _ORIGIN], "horizon", *_TARGET_CALENDAR]
-
-
-def _origins(series: DataFrame) -> DataFrame:
-    """Features known at the end of each day, relative to the series' mean absolute value so that series can be pooled.
-
-    A series of zeros alone has scale 1.
-    """
-    base = forecast_features(series, include_current=True).drop(*_TARGET_CALENDAR).dropna(subset=["y", *_ORIGIN])
-    scale = F.avg(F.abs("y")).over(W.partitionBy("series_id"))
-    base = base.withColumn("series_scale", F.when(scale == 0, F.lit(1.0)).otherwise(scale))
-    rel = {f"{c}_rel": F.col(c) / F.col("series_scale") for c in _ORIGIN}
-    return base.withColumns({**rel, "level_now": F.col("y") / F.col("series_scale")}).withColumnRenamed("ds", "origin")
-
-
-def _at_horizon(origins: DataFrame, horizons: Column) -> DataFrame:
-    ahead = origins.withColumn("horizon", F.explode(horizons)).withColumn("ds", F.date_add("origin", F.col("horizon")))
-    return ahead.withColumns(forecast_calendar("ds"))
-
-
-def gbt_training(series: DataFrame, horizons: Sequence[int] = range(1, HORIZON + 1)) -> DataFrame:
-    """Direct multi-horizon rows: features at the origin, the horizon, and the value that many days ahead."""
-    rows = _at_horizon(_origins(series), F.array(*[F.lit(h) for h in horizons]))
-    later = series.select("series_id", "ds", F.col("y").alias("y_later"))
-    return rows.join(later, ["series_id", "ds"]).withColumn("label", F.col("y_later") / F.col("series_scale"))
-
-
-def fit_gbt(
-    series: DataFrame, trees: int = 1000, depth: int = 6, rate: float = 0.1, horizons: Sequence[int] = range(1, HORIZON + 1), seed: int = 42
-) -> GBTRegressionModel:
-    """One model for all series and horizons, so a forecast is a single transform. Days beyond the longest horizon given here
-    are forecast with that feature beyond what the trees have seen."""
-    assembler = VectorAssembler(inputCols=GBT_FEATURES, outputCol="features")
-    data = stage(assembler.transform(gbt_training(series, horizons)).select("features", "label"), "gbt")
-    return GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=rate, lossType="squared", seed=seed).fit(data)
-
-
-def forecast_gbt(model: GBTRegressionModel, series: DataFrame, horizon: int | DataFrame = HORIZON, level: float = 0.95) -> DataFrame:
-    """Forecast from each series' last day; bounds are z times a tenth of the forecasts' deviation."""
-    origins = _origins(series)
-    last = F.row_number().over(W.partitionBy("series_id").orderBy(F.desc("origin")))
-    newest = origins.withColumn("_r", last).filter("_r = 1").drop("_r")
-    ahead = _at_horizon(with_horizon(newest, horizon).withColumnRenamed("horizon", "_until"), F.sequence(F.lit(1), F.col("_until")))
-    assembled = VectorAssembler(inputCols=GBT_FEATURES, outputCol="features").transform(ahead)
-    yhat = model.transform(assembled).withColumn("yhat", F.col("prediction") * F.col("series_scale"))
-    half = F.lit(Z[level] * 0.1) * F.stddev_pop("yhat").over(W.partitionBy("series_id"))
-    return yhat.select("series_id", F.lit("gbt").alias("model"), "ds", "yhat", half.alias("h")).select(
-        "series_id", "model", "ds", "yhat", (F.col("yhat") - F.col("h")).alias("lower"), (F.col("yhat") + F.col("h")).alias("upper")
-    )
-
-
-def gbt_importances(spark: SparkSession, model: GBTRegressionModel) -> DataFrame:
-    rows = [(n, float(v)) for n, v in zip(GBT_FEATURES, model.featureImportances.toArray())]
-    return spark.createDataFrame(rows, "feature string, importance double")
-
-
 # --- ensemble -------------------------------------------------------------------------------------
 
-log = logging.getLogger(__name__)
+PARTS = ("series", "ar", "seasonal", "trees", "weights", "metrics")
 
 
 @dataclass(frozen=True)
 class Ensemble:
-    """Fitted models, each None if it failed or was not asked for, with the weights and metrics of the holdout."""
+    """Fitted models (a row per series; a series too short for a model has no row there), weights and metrics of the holdout."""
 
     series: DataFrame
-    ar: DataFrame | None
-    seasonal: DataFrame | None
-    trees: GBTRegressionModel | None
+    ar: DataFrame | None = None
+    seasonal: DataFrame | None = None
+    trees: DataFrame | None = None
     weights: DataFrame | None = None
     metrics: DataFrame | None = None
 
     def forecasts(self, horizon: int | DataFrame = HORIZON) -> DataFrame:
         """Rows of every model, see ``MODEL_COLUMNS``."""
-        parts = [forecast_ar(self.ar, horizon)] if self.ar is not None else []
-        parts += [forecast_seasonal(self.seasonal, horizon)] if self.seasonal is not None else []
-        parts += [forecast_gbt(self.trees, self.series, horizon)] if self.trees is not None else []
+        each = ((self.ar, forecast_ar), (self.seasonal, forecast_seasonal), (self.trees, forecast_gbt))
+        parts = [forecast(models, horizon) for models, forecast in each if models is not None]
         if not parts:
-            raise ValueError("no model could be fitted")
+            raise ValueError("the ensemble has no model")
         return union_all(*parts)
 
     def forecast(self, horizon: int | DataFrame = HORIZON, renormalise: bool = False) -> DataFrame:
@@ -246,38 +173,19 @@ class Ensemble:
 
     def save(self, path: str) -> None:
         """Write every part under ``path``; what is missing there is missing after loading."""
-        for name in ("series", "ar", "seasonal", "weights", "metrics"):
-            part = getattr(self, name)
-            if part is not None:
-                part.write.mode("overwrite").parquet(f"{path}/{name}")
-        if self.trees is not None:
-            self.trees.write().overwrite().save(f"{path}/trees")
-        parts = [(n,) for n in ("series", "ar", "seasonal", "weights", "metrics", "trees") if getattr(self, n) is not None]
-        self.series.sparkSession.createDataFrame(parts, "part string").write.mode("overwrite").parquet(f"{path}/parts")
+        there = [name for name in PARTS if getattr(self, name) is not None]
+        for name in there:
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+        self.series.sparkSession.createDataFrame([(n,) for n in there], "part string").write.mode("overwrite").parquet(f"{path}/parts")
 
 
 def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
-    parts = {r[0] for r in spark.read.parquet(f"{path}/parts").collect()}
-    tables = {n: spark.read.parquet(f"{path}/{n}") if n in parts else None for n in ("series", "ar", "seasonal", "weights", "metrics")}
-    return Ensemble(trees=GBTRegressionModel.load(f"{path}/trees") if "trees" in parts else None, **tables)
-
-
-def _fitted(series: DataFrame, trees: int, depth: int, horizons: Sequence[int]) -> Ensemble:
-    """Fit every model; one that fails is reported and left out."""
-
-    def attempt(name: str, fit):
-        try:
-            return fit()
-        except Exception as e:  # any failure of one model leaves the others
-            log.warning("the %s model is left out: %s", name, str(e).split("\n")[0])
-            return None
-
-    return Ensemble(
-        series,
-        attempt("autoregressive", lambda: stage(fit_ar(series), "ar")),
-        attempt("seasonal", lambda: stage(fit_seasonal(series), "seasonal")),
-        attempt("tree", lambda: fit_gbt(series, trees=trees, depth=depth, horizons=horizons)) if trees else None,
-    )
+    there = {r[0] for r in spark.read.parquet(f"{path}/parts").collect()}
+    return Ensemble(**{name: spark.read.parquet(f"{path}/{name}") for name in PARTS if name in there})
+
+
+def _fitted(series: DataFrame, trees: int, depth: int) -> Ensemble:
+    return Ensemble(series, stage(fit_ar(series), "ar"), stage(fit_seasonal(series), "seasonal"), stage(fit_gbt(series, trees, depth), "trees") if trees else None)
 
 
 def holdout_horizon(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -286,20 +194,17 @@ def holdout_horizon(train: DataFrame, test: DataFrame) -> DataFrame:
     return last.join(test.groupBy("series_id").agg(F.max("ds").alias("b")), "series_id").select("series_id", F.datediff("b", "a").alias("horizon"))
 
 
-def fit_ensemble(
-    series: DataFrame, horizon: int = HORIZON, train_share: float = 0.8, trees: int = 1000, depth: int = 6, horizons: Sequence[int] | None = None
-) -> Ensemble:
+def fit_ensemble(series: DataFrame, horizon: int = HORIZON, train_share: float = 0.8, trees: int = 1000, depth: int = 6) -> Ensemble:
     """Models are fitted on the first part of each series and judged on all of the rest; the weights then blend models
-    refitted on the whole series. ``horizons`` are those that the trees learn, all up to ``horizon`` by default."""
+    refitted on the whole series. A model that a series is too short for has no weight there; failed jobs are not hidden."""
     series = stage(series, "series")
     split = split_by_time(series, train_share)
     train = stage(split.filter("part = 'train'").select("series_id", "ds", "y"), "train")
     test = stage(split.filter("part = 'test'").select("series_id", "ds", "y"), "test")
-    learned = horizons or range(1, horizon + 1)
-    first = _fitted(train, trees, depth, learned)
+    first = _fitted(train, trees, depth)
     metrics = stage(accuracy(test, first.forecasts(stage(holdout_horizon(train, test), "horizon"))), "metrics")
     weights = stage(inverse_rmse_weights(metrics), "weights")
-    return replace(_fitted(series, trees, depth, learned), weights=weights, metrics=metrics)
+    return replace(_fitted(series, trees, depth), weights=weights, metrics=metrics)
 
 
 def ensemble(series: DataFrame, horizon: int = HORIZON, renormalise: bool = False, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -353,20 +258,6 @@ def tune_ar(series: DataFrame, trials: Sequence[dict] | int = 50, train_share: f
     return scored.withColumn("best", (place == 1).cast("int"))
 
 
-def tune_gbt(series: DataFrame, grid: Sequence[dict], train_share: float = 0.8) -> DataFrame:
-    """Holdout RMSE of each setting of the pooled trees (one training job per setting)."""
-    series = stage(series, "series")
-    split = split_by_time(series, train_share)
-    train = stage(split.filter("part = 'train'").select("series_id", "ds", "y"), "train")
-    test = stage(split.filter("part = 'test'").select("series_id", "ds", "y"), "test")
-    ahead = stage(holdout_horizon(train, test), "horizon")
-    spark, rows = series.sparkSession, []
-    for i, setting in enumerate(grid):
-        found = accuracy(test, forecast_gbt(fit_gbt(train, **setting), train, ahead)).agg(F.avg("rmse")).first()[0]
-        rows.append((i, str(setting), float(found) if found is not None else float("inf")))
-    return spark.createDataFrame(rows, "trial int, setting string, rmse double")
-
-
 # --- persistence ----------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightloom import fixtures as fx
-from brightloom.operators import forecast_frames as ff, forecast_models as fm, mlfeatures as ml
+from brightloom.operators import boosting as bo, forecast_frames as ff, forecast_models as fm, mlfeatures as ml
 from brightloom.operators.dbscan import dbscan
 from brightloom.operators.iforest import fit_forest, with_forest
 from brightloom.plans import enrich
@@ -411,8 +411,7 @@ SQL["fc_seasonal_fixed"] = _seasonal_sql()
 
 @query
 def fc_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    s = _daily(spark, sf)
-    return _days(fm.forecast_gbt(fm.fit_gbt(s), s))
+    return _days(bo.forecast_gbt(bo.fit_gbt(_daily(spark, sf))))
 
 
 SQL["fc_gbt"] = _DAYS_SQL
