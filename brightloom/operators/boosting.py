@@ -112,6 +112,14 @@ def _moving(recent: np.ndarray) -> list[float]:
     return out
 
 
+def feed_back(model: Trees, known: Sequence[float], calendar: Sequence[Sequence[float]]) -> list[float]:
+    """A value for each row of ``calendar``, one day after the other, each known to the days after it."""
+    behind, known, n = max(*LAGS, *WINDOWS), list(known), len(known)
+    for parts in calendar:
+        known.append(model.predict(np.array([*_moving(np.array(known[-behind:])), *parts])))
+    return known[n:]
+
+
 def fit_gbt(series: DataFrame, trees: int = 1000, depth: int = 6, rate: float = 0.1, bins: int = BINS) -> DataFrame:
     """One model row per series that has more than 31 days with a value; days without one are left out."""
     days = series.filter("y IS NOT NULL").select("series_id", "ds", F.col("y").cast("double").alias("y"))
@@ -143,10 +151,7 @@ def forecast_gbt(models: DataFrame, horizon: DataFrame | int = HORIZON, level: f
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         m = pdf.iloc[0]
         model = Trees(m["base"], int(m["depth"]), np.asarray(m["feature"], np.int32), np.asarray(m["number"], np.float64), np.zeros(0))
-        known = list(m["recent"])
-        for parts in m["calendar"]:
-            known.append(model.predict(np.array([*_moving(np.array(known[-max(*LAGS, *WINDOWS) :])), *parts])))
-        return pd.DataFrame({"series_id": m["series_id"], "ds": list(m["days"]), "yhat": known[len(m["recent"]) :]})
+        return pd.DataFrame({"series_id": m["series_id"], "ds": list(m["days"]), "yhat": feed_back(model, m["recent"], m["calendar"])})
 
     # a model is one row of about a megabyte; grouping gives a task one at a time
     made = rows.groupBy("series_id").applyInPandas(run, "series_id string, ds date, yhat double")

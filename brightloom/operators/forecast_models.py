@@ -113,33 +113,123 @@ def _seasonal_design(frame: DataFrame, holidays: DataFrame | None) -> DataFrame:
     return frame.withColumn("x", F.array(*terms))
 
 
-def fit_seasonal(series: DataFrame, alpha: float = 1.0, holidays: DataFrame | None = None) -> DataFrame:
-    """One row per series: start_ds, span, coef, sigma, last_ds (linear trend plus seasons)."""
+def with_span(series: DataFrame) -> DataFrame:
+    """Days with a value, with ``start_ds`` and ``span`` (days from the first to the last) of their series."""
     whole = W.partitionBy("series_id")
     frame = series.filter("y IS NOT NULL").withColumn("start_ds", F.min("ds").over(whole))
-    frame = frame.withColumn("span", F.datediff(F.max("ds").over(whole), F.col("start_ds")))
-    schema = "series_id string, start_ds date, span int, coef array<double>, sigma double, last_ds date"
+    return frame.withColumn("span", F.datediff(F.max("ds").over(whole), F.col("start_ds")))
+
+
+def _soft(v: float, by: float) -> float:
+    return float(np.sign(v) * max(0.0, abs(v) - by))
+
+
+def _hinge(day: np.ndarray, at: np.ndarray, span: int) -> np.ndarray:
+    return np.maximum(0.0, day[:, None] - np.asarray(at, np.float64)[None, :]) / max(span, 1)
+
+
+def trend_breaks(x: np.ndarray, y: np.ndarray, day: np.ndarray, span: int, alpha: float, candidates: int = 25, share: float = 0.8) -> list[int]:
+    """Days (since the first) after which the slope changes: a sparse choice among hinges in the first ``share`` of the days.
+
+    The other terms are taken out first (the Schur complement of X'X), so the hinges alone are left to coordinate descent with an
+    absolute penalty at the level of noise. Neighbouring choices are one break; its day is then the one that explains most, and it
+    stays if it lowers the Bayesian information criterion by more than the cost of a day and a slope.
+    """
+    n, last = len(y), share * day[-1]
+    spots = np.unique(np.round(np.linspace(0, last, candidates + 2)[1:-1])).astype(int)
+    if n < 4 * x.shape[1] or not len(spots) or span < 2:
+        return []
+    penalty = alpha * np.eye(x.shape[1])
+    penalty[0, 0] = 0.0
+    base = np.linalg.pinv(x.T @ x + penalty)
+    clear = lambda v: v - x @ (base @ (x.T @ v))
+    h, rest = clear(_hinge(day, spots, span)), clear(y)
+    gram, moment = h.T @ h, h.T @ rest
+    noise = 1.4826 * float(np.median(np.abs(np.diff(rest)))) / np.sqrt(2)  # of neighbouring days, which no slow trend reaches
+    size = np.sqrt(np.maximum(np.diag(gram), 1e-12))
+    level = max(noise, 1e-9) * np.sqrt(2 * np.log(len(spots) + 1))
+    slope = np.zeros(len(spots))
+    for _ in range(500):
+        before = slope.copy()
+        for j in range(len(spots)):
+            slope[j] = _soft(moment[j] - gram[j] @ slope + gram[j, j] * slope[j], level * size[j]) / (size[j] * size[j])
+        if np.abs(slope - before).max() <= 1e-7 * max(1.0, np.abs(slope).max()):
+            break
+    step = int(spots[1] - spots[0]) if len(spots) > 1 else int(last)
+    groups: list[list[int]] = []
+    for j in np.flatnonzero(np.abs(slope) * size > level):
+        if groups and spots[j] - spots[groups[-1][-1]] <= 2 * step and np.sign(slope[j]) == np.sign(slope[groups[-1][-1]]):
+            groups[-1].append(int(j))
+        else:
+            groups.append([int(j)])
+    found = [int(round(np.average(spots[g], weights=np.abs(slope[g])))) for g in groups]
+    for _ in range(2):  # each break moves to its best day while the others stand
+        for i in range(len(found)):
+            others = _hinge(day, found[:i] + found[i + 1 :], span)
+            taken = np.linalg.qr(clear(others))[0] if others.shape[1] else np.zeros((n, 0))
+            window = np.arange(max(1, found[i] - 2 * step), min(int(last), found[i] + 2 * step) + 1)
+            trial = clear(_hinge(day, window, span))
+            trial = trial - taken @ (taken.T @ trial)
+            left = rest - taken @ (taken.T @ rest)
+            gain = (trial.T @ left) ** 2 / np.maximum((trial * trial).sum(axis=0), 1e-12)
+            found[i] = int(window[gain.argmax()])
+    found = sorted(set(found))
+    while found:  # drop the break that explains least while the criterion gets better
+        every = clear(_hinge(day, found, span))
+        rss = lambda m: float(np.sum((rest - m @ np.linalg.lstsq(m, rest, rcond=None)[0]) ** 2)) if m.shape[1] else float(np.sum(rest**2))
+        whole = rss(every)
+        without = [rss(np.delete(every, i, axis=1)) for i in range(len(found))]
+        least = int(np.argmin(without))
+        if n * np.log(without[least] / max(whole, 1e-300)) > 4 * np.log(n):
+            break
+        del found[least]
+    return found
+
+
+SEASONAL_MODEL = "series_id string, start_ds date, span int, coef array<double>, sigma double, last_ds date, breaks array<int>, slopes array<double>"
+
+
+def fit_seasonal(series: DataFrame, alpha: float = 1.0, holidays: DataFrame | None = None, candidates: int = 25) -> DataFrame:
+    """One row per series: trend with breaks (at most ``candidates`` are looked for; 0 for a straight one) plus seasons."""
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ds")
         x, y = np.array(pdf["x"].tolist(), dtype="float64"), pdf["y"].to_numpy(dtype="float64")
-        scale = float(np.std(y)) or 1.0
-        coef = ridge(x, y / scale, alpha) * scale
-        row = (pdf["series_id"].iloc[0], pdf["start_ds"].iloc[0], int(pdf["span"].iloc[0]), coef.tolist(),
-               float(np.std(y - x @ coef)), pdf["ds"].max())
-        return pd.DataFrame([row], columns=["series_id", "start_ds", "span", "coef", "sigma", "last_ds"])
+        scale, span = float(np.std(y)) or 1.0, int(pdf["span"].iloc[0])
+        day = (pd.to_datetime(pdf["ds"]) - pd.Timestamp(pdf["start_ds"].iloc[0])).dt.days.to_numpy()
+        breaks = trend_breaks(x, y / scale, day, span, alpha, candidates) if candidates else []
+        bent = np.column_stack([x, _hinge(day, breaks, span)])
+        coef = ridge(bent, y / scale, alpha) * scale if not breaks else _bent_ridge(bent, y / scale, alpha, len(breaks)) * scale
+        row = (pdf["series_id"].iloc[0], pdf["start_ds"].iloc[0], span, coef[: x.shape[1]].tolist(), float(np.std(y - bent @ coef)), pdf["ds"].iloc[-1],
+               breaks, coef[x.shape[1] :].tolist())
+        return pd.DataFrame([row], columns=[c.split()[0] for c in SEASONAL_MODEL.split(", ")])
 
-    design = _seasonal_design(frame, holidays).select("series_id", "ds", "y", "start_ds", "span", "x")
-    return design.groupBy("series_id").applyInPandas(fit, schema)
+    design = _seasonal_design(with_span(series), holidays).select("series_id", "ds", "y", "start_ds", "span", "x")
+    return design.groupBy("series_id").applyInPandas(fit, SEASONAL_MODEL)
+
+
+def _bent_ridge(x: np.ndarray, y: np.ndarray, alpha: float, breaks: int) -> np.ndarray:
+    """Ridge in which trend and breaks are not shrunk: they have been chosen already, and shrinking one bends the others."""
+    penalty = alpha * np.eye(x.shape[1])
+    free = [0, 1, *range(x.shape[1] - breaks, x.shape[1])]
+    penalty[free, free] = 0.0
+    return np.linalg.lstsq(x.T @ x + penalty, x.T @ y, rcond=None)[0]
 
 
 def forecast_seasonal(
     models: DataFrame, horizon: int | DataFrame = HORIZON, level: float = 0.95, holidays: DataFrame | None = None
 ) -> DataFrame:
+    """Forecast of every model row; ``breaks`` and ``slopes`` may be missing."""
     days = F.explode(F.sequence(F.date_add("last_ds", 1), F.date_add("last_ds", F.col("horizon"))))
     frame = _seasonal_design(with_horizon(models, horizon).withColumn("ds", days), holidays)
-    dot = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    add = lambda s, v: s + v
+    yhat = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), add)
+    if "breaks" in models.columns:
+        since = F.datediff("ds", "start_ds")
+        bend = F.zip_with("breaks", "slopes", lambda d, s: s * F.greatest(F.lit(0), since - d) / F.greatest(F.col("span"), F.lit(1)))
+        yhat = yhat + F.aggregate(bend, F.lit(0.0), add)
     half = F.col("sigma") * F.lit(Z[level])
-    return frame.select("series_id", F.lit("seasonal").alias("model"), "ds", dot.alias("yhat"), half.alias("h")).select(
+    return frame.select("series_id", F.lit("seasonal").alias("model"), "ds", yhat.alias("yhat"), half.alias("h")).select(
         "series_id", "model", "ds", "yhat", (F.col("yhat") - F.col("h")).alias("lower"), (F.col("yhat") + F.col("h")).alias("upper")
     )
 
@@ -213,51 +303,6 @@ def ensemble(series: DataFrame, horizon: int = HORIZON, renormalise: bool = Fals
     return fitted.forecast(horizon, renormalise), fitted.weights, fitted.metrics
 
 
-# --- parameter search -----------------------------------------------------------------------------
-
-
-def search_space(trials: int = 50, seed: int = 42) -> list[dict]:
-    """Seeded random settings of the autoregressive model: lookback 7..90, alpha 1e-3..1e3 (log uniform)."""
-    rng = np.random.default_rng(seed)
-    return [
-        {"trial": i, "lookback": int(rng.integers(7, 91)), "alpha": float(10 ** rng.uniform(-3, 3))} for i in range(trials)
-    ]
-
-
-def tune_ar(series: DataFrame, trials: Sequence[dict] | int = 50, train_share: float = 0.8, seed: int = 42) -> DataFrame:
-    """Holdout RMSE of every (series, trial); a trial that fails scores infinity. ``best`` marks the winner.
-
-    Each (series, trial) is one group of one daily series.
-    """
-    space = search_space(trials, seed) if isinstance(trials, int) else list(trials)
-    options = F.array(*[F.struct(F.lit(t["trial"]).alias("trial"), F.lit(t["lookback"]).alias("lookback"), F.lit(t["alpha"]).alias("alpha")) for t in space])
-    work = series.select("series_id", "ds", "y", F.explode(options).alias("o")).select("series_id", "ds", "y", "o.*")
-
-    def judge(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
-        lookback, alpha = int(first["lookback"]), float(first["alpha"])
-        y = pdf.dropna(subset=["y"]).sort_values("ds")["y"].to_numpy(dtype="float64")
-        cut = int(len(y) * train_share)
-        rmse = float("inf")
-        if cut > lookback and cut < len(y):
-            low, width = y[:cut].min(), (y[:cut].max() - y[:cut].min()) or 1.0
-            s = (y - low) / width
-            x, target = _windows(s[:cut], lookback)
-            coef = ridge(x, target, alpha)
-            with np.errstate(over="ignore", invalid="ignore"):
-                off = s[cut:] - _recurse(coef, s[cut - lookback : cut], len(y) - cut)
-                found = float(np.sqrt(np.mean(off * off)) * width)
-            rmse = found if np.isfinite(found) else rmse
-        return pd.DataFrame([(first["series_id"], int(first["trial"]), lookback, alpha, rmse)],
-                            columns=["series_id", "trial", "lookback", "alpha", "rmse"])
-
-    scored = work.groupBy("series_id", "trial").applyInPandas(
-        judge, "series_id string, trial int, lookback int, alpha double, rmse double"
-    )
-    place = F.row_number().over(W.partitionBy("series_id").orderBy("rmse", "trial"))  # one row per trial
-    return scored.withColumn("best", (place == 1).cast("int"))
-
-
 # --- persistence ----------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightloom import fixtures as fx
-from brightloom.operators import boosting as bo, forecast_frames as ff, forecast_models as fm, mlfeatures as ml
+from brightloom.operators import backtest as bt, boosting as bo, forecast_frames as ff, forecast_models as fm, forecast_search as fs, mlfeatures as ml
 from brightloom.operators.dbscan import dbscan
 from brightloom.operators.iforest import fit_forest, with_forest
 from brightloom.plans import enrich
@@ -449,14 +449,87 @@ SQL["fc_table"] = _DAYS_SQL
 
 @query
 def fc_tune(spark: SparkSession, sf: str) -> DataFrame:
-    """Trials of each series, winners, and whether the winner has the least error."""
-    scored = fm.tune_ar(_daily(spark, sf), 50)
-    return scored.groupBy("series_id").agg(
-        F.countDistinct("trial").alias("n_trials"), F.sum("best").cast("long").alias("n_winners"),
-        (F.max(F.when(F.col("best") == 1, F.col("rmse"))) == F.min("rmse")).cast("int").alias("winner_is_least"))
+    """Two races of nine trials for each series and model: trials of each rung, those that went on, and whether the winner has the least error."""
+    done = stage(fs.search(_daily(spark, sf), trials=9), "search")
+    top = done.filter("rung = 2").groupBy("series_id", "model").agg(
+        F.sum("best").cast("long").alias("n_winners"), (F.max(F.when(F.col("best") == 1, F.col("rmse"))) == F.min("rmse")).cast("int").alias("winner_is_least"))
+    # of the trials of a rung, none that stayed behind is better than one that went on
+    fair = F.max(F.when(F.col("kept") == 1, F.col("rmse"))) <= F.coalesce(F.min(F.when(F.col("kept") == 0, F.col("rmse"))), F.lit(float("inf")))
+    rungs = done.groupBy("series_id", "model", "round", "rung").agg(
+        F.count_distinct("trial").alias("n_trials"), F.sum("kept").cast("long").alias("n_kept"), fair.cast("int").alias("is_fair"),
+        F.max(F.when(F.col("rmse") < float("inf"), 1).otherwise(0)).alias("has_error"))
+    return rungs.join(top, ["series_id", "model"])
 
 
-SQL["fc_tune"] = f"{DAILY} SELECT DISTINCT series_id, CAST(50 AS BIGINT) AS n_trials, CAST(1 AS BIGINT) AS n_winners, CAST(1 AS INTEGER) AS winner_is_least FROM daily"
+SQL["fc_tune"] = f"""{DAILY} SELECT DISTINCT series_id, model, CAST(round AS INTEGER) AS round, CAST(rung AS INTEGER) AS rung, CAST(9 // (3 ** rung) AS BIGINT) AS n_trials, CAST(greatest(1, 3 // (3 ** rung)) AS BIGINT) AS n_kept,
+ CAST(1 AS INTEGER) AS is_fair, CAST(1 AS INTEGER) AS has_error, CAST(1 AS BIGINT) AS n_winners, CAST(1 AS INTEGER) AS winner_is_least
+ FROM daily, (VALUES ('ar'), ('seasonal'), ('gbt')) m(model), range(0, 2) a(round), range(0, 3) b(rung)"""
+
+
+@query
+def fc_tune_repeat(spark: SparkSession, sf: str) -> DataFrame:
+    """The race of a model whose errors have a closed form: repeating the last 1 to 27 days."""
+    done = fs.search(_daily(spark, sf), models=["repeat"], rounds=1, given={"repeat": [{"period": p} for p in range(1, 28)]})
+    return done.select("series_id", F.col("setting")["period"].cast("int").alias("period"), "rung", r("budget", 6).alias("budget"), r("rmse").alias("rmse"), "kept", "best")
+
+
+SQL["fc_tune_repeat"] = f"""{DAILY}, o AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS i, count(*) OVER (PARTITION BY series_id) AS n FROM daily),
+ c AS (SELECT *, CAST(floor(n * 0.8::DOUBLE) AS BIGINT) AS k FROM o), t AS (SELECT * FROM c WHERE i > k),
+ e AS (SELECT t.series_id, p, sqrt(avg((t.y - u.y) * (t.y - u.y))) AS rmse FROM t CROSS JOIN range(1, 28) a(p) JOIN o u ON u.series_id = t.series_id AND u.i = t.k - p + 1 + (t.i - t.k - 1) % p GROUP BY 1, 2),
+ f AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY rmse, p) AS place FROM e)
+ SELECT series_id, CAST(p AS INTEGER) AS period, CAST(rung AS INTEGER) AS rung, {rnd('power(3::DOUBLE, rung - 3)', 6)} AS budget, {rnd('rmse')} AS rmse,
+ CAST(rung = 3 OR place <= 9 // (3 ** rung) AS INTEGER) AS kept, CAST(rung = 3 AND place = 1 AS INTEGER) AS best
+ FROM f CROSS JOIN range(0, 4) b(rung) WHERE place <= 27 // (3 ** rung)"""
+
+
+@query
+def fc_backtest(spark: SparkSession, sf: str) -> DataFrame:
+    """Widths of the bounds at every band of steps, and how many of the latest cut's days lie between them, for the repeated week."""
+    widths, judged = bt.backtest(_daily(spark, sf), [bt.repeat_forecast(7)])
+    sums = judged.select("series_id", "level", "n_days", r("coverage", 6).alias("coverage"), r("r2", 6).alias("r2"))
+    return widths.select("series_id", "band", "level", "n", r("width").alias("width")).join(sums, ["series_id", "level"])
+
+
+SQL["fc_backtest"] = f"""{DAILY}, l AS (SELECT series_id, max(ds) AS d FROM daily GROUP BY 1),
+ cuts AS (SELECT series_id, CAST(c AS INTEGER) AS cut, d - CAST((c + 1) * 90 AS INTEGER) AS cut_ds FROM l CROSS JOIN range(0, 6) t(c)),
+ known AS (SELECT c.*, ds, y, row_number() OVER (PARTITION BY c.series_id, cut ORDER BY ds DESC) AS back, max(ds) OVER (PARTITION BY c.series_id, cut) AS last FROM cuts c JOIN daily USING (series_id) WHERE ds <= cut_ds),
+ made AS (SELECT series_id, cut, cut_ds, last + CAST(8 - back + 7 * w AS INTEGER) AS ds, y AS yhat FROM known CROSS JOIN range(0, 60) t(w) WHERE back <= 7 AND last + CAST(8 - back + 7 * w AS INTEGER) <= cut_ds + 90),
+ e AS (SELECT m.series_id, cut, m.ds - cut_ds AS step, y, yhat FROM made m JOIN daily d ON d.series_id = m.series_id AND d.ds = m.ds WHERE m.ds - cut_ds BETWEEN 1 AND 90),
+ q AS (SELECT series_id, (step - 1) // 15 AS band, list_sort(list(abs(y - yhat))) AS off FROM e WHERE cut > 0 GROUP BY 1, 2),
+ w AS (SELECT series_id, band, level, len(off) AS n, off[CAST(least(ceil(round((len(off) + 1) * level, 9)), len(off)) AS BIGINT)] AS width FROM q CROSS JOIN (VALUES (0.8::DOUBLE), (0.9::DOUBLE), (0.95::DOUBLE)) v(level)),
+ j AS (SELECT e.series_id, level, count(*) AS n_days, avg(CAST(y BETWEEN yhat - width AND yhat + width AS INTEGER)) AS coverage, 1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(y)) AS r2
+ FROM e JOIN (SELECT series_id, max(band) AS top FROM q GROUP BY 1) t ON t.series_id = e.series_id JOIN w ON w.series_id = e.series_id AND w.band = least((e.step - 1) // 15, top) WHERE cut = 0 GROUP BY 1, 2)
+ SELECT w.series_id, CAST(band AS INTEGER) AS band, w.level, CAST(n AS BIGINT) AS n, {rnd('width')} AS width, n_days, {rnd('coverage', 6)} AS coverage, {rnd('r2', 6)} AS r2 FROM w JOIN j ON j.series_id = w.series_id AND j.level = w.level"""
+
+
+@query
+def fc_conformal(spark: SparkSession, sf: str) -> DataFrame:
+    """Conformal bounds of the fitted models: days judged, and whether the share between the bounds is near each level and grows with it."""
+    days = _daily(spark, sf)
+    made = [lambda s, h: fm.forecast_ar(fm.fit_ar(s), h), lambda s, h: fm.forecast_seasonal(fm.fit_seasonal(s), h), lambda s, h: bo.forecast_gbt(bo.fit_gbt(s, trees=200), h)]
+    _, judged = bt.backtest(days, made)
+    # three deviations of a share of so many independent days, doubled because days in a row are alike
+    near = F.abs(F.col("coverage") - F.col("level")) <= 6 * F.sqrt(F.col("level") * (1 - F.col("level")) / F.col("n_days"))
+    return judged.select("series_id", "model", "level", "n_days", near.cast("int").alias("is_near"))
+
+
+SQL["fc_conformal"] = f"""{DAILY}, n AS (SELECT series_id, count(*) FILTER (ds > last - 90) AS n_days FROM (SELECT *, max(ds) OVER (PARTITION BY series_id) AS last FROM daily) GROUP BY 1)
+ SELECT series_id, model, level, n_days, CAST(1 AS INTEGER) AS is_near FROM n, (VALUES ('ar'), ('seasonal'), ('gbt')) m(model), (VALUES (0.8::DOUBLE), (0.9::DOUBLE), (0.95::DOUBLE)) v(level)"""
+
+
+@query
+def fc_breaks_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """The seasonal forecast from given coefficients and given breaks of the trend: 100 more a span after day 200, 250 less after day 900."""
+    zeros = F.array_repeat(F.lit(0.0), 2 * sum(order for _, _, order in fm.SEASONS))
+    models = _daily(spark, sf).groupBy("series_id").agg(F.min("ds").alias("start_ds"), F.max("ds").alias("last_ds")).select(
+        "series_id", "start_ds", F.datediff("last_ds", "start_ds").alias("span"), F.concat(F.array(F.lit(50.0), F.lit(10.0)), zeros).alias("coef"), F.lit(1.0).alias("sigma"), "last_ds",
+        F.array(F.lit(200), F.lit(900)).alias("breaks"), F.array(F.lit(100.0), F.lit(-250.0)).alias("slopes"))
+    return fm.forecast_seasonal(models).select("series_id", _ds(), r("yhat", 5).alias("yhat"))
+
+
+SQL["fc_breaks_fixed"] = f"""{DAILY}, l AS (SELECT series_id, min(ds) AS a, max(ds) AS b FROM daily GROUP BY 1),
+ p AS (SELECT series_id, b + CAST(i AS INTEGER) AS ds, 50 + (10.0::DOUBLE * (b + CAST(i AS INTEGER) - a) + 100.0::DOUBLE * greatest(0, b + CAST(i AS INTEGER) - a - 200) - 250.0::DOUBLE * greatest(0, b + CAST(i AS INTEGER) - a - 900)) / (b - a) AS yhat
+ FROM l CROSS JOIN range(1, 91) t(i)) SELECT series_id, {_DS_SQL}, {rnd('yhat', 5)} AS yhat FROM p"""
 
 
 @query

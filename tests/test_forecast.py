@@ -135,12 +135,6 @@ def test_saved_models_forecast_the_same(spark, series, tmp_path):
     np.testing.assert_allclose(a["yhat"], b["yhat"])
 
 
-def test_search_marks_one_winner_and_failures_are_infinite(spark, series):
-    trials = [{"trial": 0, "lookback": 14, "alpha": 1.0}, {"trial": 1, "lookback": 5000, "alpha": 1.0}]
-    got = fm.tune_ar(series, trials).toPandas()
-    assert got[got["trial"] == 1]["rmse"].eq(np.inf).all() and got[got["best"] == 1]["trial"].tolist() == [0, 0]
-
-
 def test_features_do_not_see_the_target(spark, series):
     base = ff.forecast_features(series).orderBy("series_id", "ds").limit(200).toPandas()
     first = base[base["series_id"] == "0"].reset_index(drop=True)
