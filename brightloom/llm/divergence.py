@@ -126,6 +126,8 @@ def compare_tiles(a: tuple, b: tuple, terms: int) -> np.ndarray:
 
     A tile is (row, col, p of the cells, p of a zero count for each row).
     """
+    if not terms:
+        return np.zeros((len(a[3]), len(b[3])), np.int64)
     rows = max(len(a[3]), len(b[3]))
     levels = max(1, int(max(rows, terms) - 1).bit_length())
     trees = [Tree(t[0], t[1], levels) for t in (a, b)]
@@ -208,7 +210,10 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, lang_col: str = "l
     placed = cells.join(whose, ["lang", "source"]).join(size, "lang").select("lang", block.alias("block"), "row", "own", "term", "n", "lang_n", other)
     left = placed.select("lang", "block", *sides("own"), "row", "term", "n", "lang_n")
     facts = groups.join(size.drop("v"), "lang").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).select("*", other)
-    right = facts.select("lang", "block", *sides("tile"), "source", "number", "total", "lang_total", "v")
+    # terms of a block that neither tile uses are priced too, so their number goes along
+    counts = cells.select("lang", "term").distinct().join(size, "lang").groupBy(F.col("lang").alias("_l"), block.alias("_b")).agg(F.count(F.lit(1)).alias("terms"))
+    facts = facts.join(counts, (F.col("lang") == F.col("_l")) & (F.col("block") == F.col("_b")), "left").fillna(0, ["terms"])
+    right = facts.select("lang", "block", *sides("tile"), "source", "number", "total", "lang_total", "v", "terms")
 
     def compare(key, cells: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
         lang, _, ta, tb = key
@@ -230,7 +235,7 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, lang_col: str = "l
             rows = np.flatnonzero(tile == t)
             mine = (row >= rows[0]) & (row <= rows[-1])
             sides.append((rows, (row[mine] - rows[0], place[col[mine]], p[mine], zero[rows])))
-        sums = compare_tiles(sides[0][1], sides[1][1], len(terms)) if len(terms) else np.zeros((len(sides[0][0]), len(sides[1][0])), np.int64)
+        sums = compare_tiles(sides[0][1], sides[1][1], int(groups["terms"].iloc[0]))
         i, j = np.divmod(np.arange(sums.size), sums.shape[1])
         i, j, value = sides[0][0][i], sides[1][0][j], sums.ravel()
         for x, y in ([(i, j)] if ta == tb else [(i, j), (j, i)]):
