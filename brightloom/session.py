@@ -6,7 +6,6 @@ Jobs on a cluster bring their own session; nothing in the operators depends on t
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +27,4 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "bri
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     guard(spark)
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="brightloom-"))
     return spark

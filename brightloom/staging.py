@@ -15,14 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from brightloom.unions import guard
 
 
+#: folders of local sessions that name none, by application; the setting itself cannot be changed once a session runs
+_local: dict[str, str] = {}
+
+
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local session may fall back to its own."""
+    """The shared folder named by ``spark.checkpoint.dir``; a local session without one gets a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="brightloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = tempfile.mkdtemp(prefix="brightloom-")
+        root = _local[app]
     return root.rstrip("/")
 
 
