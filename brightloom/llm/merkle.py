@@ -2,12 +2,16 @@
 
 A text is cut at blank lines into sections, at line ends into paragraphs, and each paragraph into phrases: pieces of 6 to 16
 code points that end where the text itself has a character of a fixed class (about one in four), in texts of every length and
-in runs without white space. So pieces fall into step again behind an edit. A phrase is hashed; a paragraph's digest covers its phrases, a section's its paragraphs, the root all
-sections. The fingerprint is the root (32 hexadecimal digits), a dot, and the phrases (six digits each) with ``;`` between
-paragraphs and ``/`` between sections. So roots test equality, and where they differ the branches that differ locate the edit.
+in runs without white space. So pieces fall into step again behind an edit. A phrase is hashed; a paragraph's digest covers its
+phrases, a section's its paragraphs and the blank line behind it, the root all sections; each covers the number of its children too.
+The fingerprint is the root (32 hexadecimal digits), a dot, and the sections between ``/``: the section's digest (12 digits), ``:``,
+the digests of its paragraphs (8 each), ``:``, and its ``SKETCH`` smallest different phrase hashes (6 each, ``*`` and a count if not 1)
+between ``,``, with ``+`` before them if there were more. So roots test equality, and a comparison descends only into branches whose digests
+differ. The size is bounded by paragraphs and sections, whatever their length.
 
 * The likeness of two fingerprints is 1 if the roots are equal, else the share of phrases they have in common,
-  2 * common / (both numbers of phrases), as multisets and below 1; 0 if neither has a phrase.
+  2 * common / (both numbers of phrases), as multisets and below 1; 0 if neither has a phrase. Where sections had more phrases than
+  the sketch keeps, the share is that of the phrases whose hash is within what both kept.
 * Null text is empty; its fingerprint is a root alone. White space alone is a phrase.
 * "Next" is the next row in descending (id, text digest), null ids last; after the last row comes the first. Repeated rows are
   rows of their own, so equal neighbours have likeness 1. A table of one row is its own next.
@@ -31,48 +35,88 @@ from brightloom.llm.common import id_and_text, partitions
 #: a phrase ends at a code point that leaves 1 modulo 4 (of the basic plane), after 16 code points, or with its paragraph
 _ENDS = re.escape("".join(chr(c) for c in range(1, 1 << 16, 4) if not 0xD800 <= c < 0xE000))
 _PIECES = re.compile(rf"[\s\S]{{5,15}}?[{_ENDS}]|[\s\S]{{1,16}}")
-_SECTION = re.compile(r"\n[^\S\n]*\n")
+_SECTION = re.compile(r"(\n[^\S\n]*\n)")
+#: different phrase hashes that a section keeps: the likeness of longer ones is within about 0.04 (one deviation)
+SKETCH = 128
 _FIRST = -(1 << 63)
 
 
 def fingerprint(text: str) -> str:
-    digest = xxhash.xxh64_digest
-    sections, roots = [], []
-    for section in _SECTION.split(text) if text else ():
-        paragraphs, nodes = [], []
-        for paragraph in section.split("\n"):
-            leaves = [digest(p) for p in _PIECES.findall(paragraph)]
-            paragraphs.append("".join([x[:3].hex() for x in leaves]))
-            nodes.append(hashlib.md5(b"".join(leaves), usedforsecurity=False).digest())
-        sections.append(";".join(paragraphs))
-        roots.append(hashlib.md5(b"".join(nodes), usedforsecurity=False).digest())
-    root = hashlib.md5(b"".join(roots), usedforsecurity=False).hexdigest()
-    return f"{root}.{'/'.join(sections)}"
-
-
-def _phrases(fp: str) -> list[str]:
-    return [p[i : i + 6] for part in fp[33:].split("/") for p in part.split(";") for i in range(0, len(p), 6)]
+    leaf_hash, digest = xxhash.xxh64_digest, lambda parts: hashlib.md5(len(parts).to_bytes(8, "little") + b"".join(parts), usedforsecurity=False)
+    shown, sections = [], []
+    # sections and the blank lines between them, in turn
+    for at, part in enumerate(_SECTION.split(text) if text else ()):
+        if at % 2:
+            sections.append(leaf_hash(part))
+            continue
+        held: Counter = Counter()
+        nodes = []
+        for paragraph in part.split("\n"):
+            leaves = [leaf_hash(p) for p in _PIECES.findall(paragraph)]
+            held.update([x[:3] for x in leaves])
+            nodes.append(digest(leaves).digest())
+        own = digest(nodes)
+        sections.append(own.digest())
+        least = sorted(held)[:SKETCH]
+        kept = ",".join([h.hex() if held[h] == 1 else f"{h.hex()}*{held[h]}" for h in least])
+        shown.append(f"{own.hexdigest()[:12]}:{''.join([n[:4].hex() for n in nodes])}:{'+' if len(held) > SKETCH else ''}{kept}")
+    return f"{digest(sections).hexdigest()}.{'/'.join(shown)}"
+
+
+def _sections(fp: str) -> list[tuple[str, str, str]]:
+    """(digest, paragraphs, sketch) of each section."""
+    return [tuple(s.split(":")) for s in fp[33:].split("/")] if len(fp) > 33 else []
+
+
+def _sketch(fp: str) -> tuple[dict[str, int], str]:
+    """Counts of phrase hashes, and the hash up to which all phrases are in them."""
+    counts: dict[str, int] = {}
+    most = "ffffff"
+    for _, _, kept in _sections(fp):
+        names = kept.lstrip("+").split(",")
+        for entry in names:
+            if entry:
+                counts[entry[:6]] = counts.get(entry[:6], 0) + int(entry[7:] or 1)
+        if kept.startswith("+"):
+            most = min(most, names[-1][:6])
+    return counts, most
 
 
 def likeness(a: str, b: str) -> float:
     """Likeness of two fingerprints, see the module's text."""
     if a[:32] == b[:32]:
         return 1.0
-    x, y = _phrases(a), _phrases(b)
-    if not x or not y:
-        return 0.0
-    common = (Counter(x) & Counter(y)).total()
-    return min(2.0 * common / (len(x) + len(y)), 1.0 - 1.0 / (len(x) + len(y) + 1))
+    (x, x_most), (y, y_most) = _sketch(a), _sketch(b)
+    most = min(x_most, y_most)
+    total = sum(n for h, n in x.items() if h <= most) + sum(n for h, n in y.items() if h <= most)
+    common = sum(min(n, y[h]) for h, n in x.items() if h <= most and h in y)
+    return min(2.0 * common / total, 1.0 - 1.0 / (total + 1)) if total else 0.0
 
 
 def changed(a: str, b: str) -> list[tuple[int, int]]:
-    """(section, paragraph) of the branches of ``b`` that ``a`` does not have at that place or elsewhere."""
+    """(section, paragraph) of the branches of ``b`` that ``a`` does not have at that place or elsewhere.
+
+    Equal roots and equal sections are not opened; of the others, paragraphs are matched with those of ``a``'s sections that have no match.
+    """
     if a[:32] == b[:32]:
         return []
-    have = Counter(p for s in a[33:].split("/") for p in s.split(";"))
+    cut = lambda section: [section[1][i : i + 8] for i in range(0, len(section[1]), 8)]
+    mine = _sections(a)
+    whole = Counter(s[0] for s in mine)
+    open_ = []
+    for i, section in enumerate(_sections(b)):
+        if whole[section[0]]:
+            whole[section[0]] -= 1
+        else:
+            open_.append((i, section))
+    have: Counter = Counter()
+    for section in mine:
+        if whole[section[0]]:
+            whole[section[0]] -= 1
+            have.update(cut(section))
     out = []
-    for i, s in enumerate(b[33:].split("/")):
-        for j, p in enumerate(s.split(";")):
+    for i, section in open_:
+        for j, p in enumerate(cut(section)):
             if have[p]:
                 have[p] -= 1
             else:
@@ -89,8 +133,8 @@ def edited(text: str, following: str) -> str:
 def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(bucket, extra, doc_id, text) so that each row's next one follows it: sorted inside partitions by descending id.
 
-    Ids are cut into ranges by approximate quantiles. The first row of a range is needed by the range before it, so the rows
-    with that id are repeated there as ``extra`` rows; ranges are a small multiple of the shuffle partitions, so these are few.
+    Ids are cut into ranges by approximate quantiles. The first row of a range is needed by the range before it, so it is repeated
+    there as an ``extra`` row: one for each range.
     """
     rows = id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(_FIRST)).alias("_id"))
     wide = partitions(docs)
@@ -103,12 +147,14 @@ def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return pd.Series(np.searchsorted(edges, ids.to_numpy(np.int64), side="left"))
 
     # a row per range: where its largest id goes as an extra
-    tops = sorted((r[0], r[1]) for r in rows.select(bucket_of("_id").alias("b"), "_id").groupBy("b").agg(F.max("_id")).collect())
+    first = F.max(F.struct("_id", F.md5("text").alias("_digest")))
+    tops = sorted((r[0], *r[1]) for r in rows.select(bucket_of("_id").alias("b"), "_id", "text").groupBy("b").agg(first).collect())
     spark = docs.sparkSession
-    extra = spark.createDataFrame([(top, tops[(i + 1) % len(tops)][0]) for i, (_, top) in enumerate(tops)], "_id long, _to long")
+    extra = spark.createDataFrame([(top, digest, tops[(i + 1) % len(tops)][0]) for i, (_, top, digest) in enumerate(tops)], "_id long, _top string, _to long")
     own = rows.withColumn("bucket", bucket_of("_id"))
     marked = own.withColumn("extra", F.lit(False)).select("bucket", "extra", "doc_id", "_id", "text")
-    copies = rows.join(F.broadcast(extra), "_id").select(F.col("_to").alias("bucket"), F.lit(True).alias("extra"), "doc_id", "_id", "text")
+    top = rows.join(F.broadcast(extra), (rows["_id"] == extra["_id"]) & (F.md5("text") == F.col("_top"))).drop(extra["_id"])
+    copies = top.dropDuplicates(["_to"]).select(F.col("_to").alias("bucket"), F.lit(True).alias("extra"), "doc_id", "_id", "text")
     return (
         marked.unionByName(copies).withColumn("_digest", F.md5("text")).repartition(wide, "bucket")
         .sortWithinPartitions("bucket", "extra", F.desc("_id"), F.desc("_digest")).select("bucket", "extra", "doc_id", "text")
