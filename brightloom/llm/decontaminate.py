@@ -7,8 +7,8 @@ suffix positions sampled every ``SAMPLE`` words and at each stretch's start. All
 the rows found are walked to a sampled position. The removal spans of a document are the merged occurrences.
 
 * A phrase is a window of ``window`` consecutive words of an item; an item with fewer words, but not none, is one phrase.
-* The benchmark is the one table that goes to every task; it is read by the driver only below ``max_benchmark_bytes``, which
-  is checked first. A larger one is searched in blocks of items, each below the bound, and the spans are merged per document.
+* The benchmark is the one table that goes to every task. Its phrases take at most about ``max_benchmark_bytes`` there; a larger
+  benchmark is searched in blocks of items, one after the other, and the spans are merged per document.
 * Null text has no words. Items with null text or without words hold no phrase. Words hit by an item whose id is null are hit;
   such an item is not listed. Items may repeat an id; it is listed once. Rows of ``docs`` stay as they are, repeated ids too.
 * A document longer than a shard is a shard of its own, so no phrase is cut.
@@ -23,11 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from brightloom.llm.common import slices, texts_of
+from brightloom.staging import stage
 
 #: words of a shard
 SHARD_WORDS = 1 << 20
 #: distance of sampled suffix positions
 SAMPLE = 8
+#: bytes of memory for a byte of the benchmark's text
+MEMORY = 32
 #: bytes that are not part of a word become spaces, A-Z becomes a-z: words are [0-9a-z] and all bytes from 0x80
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -37,18 +40,41 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Phrases:
-    """The test phrases of a benchmark: words as symbols from 1, distinct phrases by length, and the items of each."""
+    """The test phrases of a benchmark: words as symbols from 1, distinct phrases by length, and the items of each.
+
+    ``tables`` holds (length, first phrase number, matrix of symbols) for each length; the items of phrase i are ``names`` at
+    ``of[cut[i]:cut[i + 1]]``. A phrase of ten words takes about 60 bytes.
+    """
 
     def __init__(self, items: list[tuple[object, bytes | None]], window: int) -> None:
         self.symbols: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set] = {}
+        rows: dict[int, list[np.ndarray]] = {}
+        owners: dict[int, list[np.ndarray]] = {}
+        self.names = sorted({str(item) for item, _ in items if item is not None})
+        number = {name: i for i, name in enumerate(self.names)}
         for item, text in items:
-            row = [self.symbols.setdefault(w, len(self.symbols) + 1) for w in words_of(text)]
-            for i in range(max(1, len(row) - window + 1) if row else 0):
-                found.setdefault(tuple(row[i : i + window]), set()).add(item)
-        self.phrases = sorted(found, key=lambda p: (len(p), p))
-        self.items = [sorted((str(i) for i in found[p] if i is not None)) for p in self.phrases]
-        self.shortest = min(map(len, self.phrases), default=0)
+            words = words_of(text)
+            row = np.fromiter((self.symbols.setdefault(w, len(self.symbols) + 1) for w in words), np.int32, len(words))
+            if len(row):
+                n = min(len(row), window)
+                rows.setdefault(n, []).append(np.lib.stride_tricks.sliding_window_view(row, n))
+                owners.setdefault(n, []).append(np.full(len(row) - n + 1, number[str(item)] if item is not None else -1, np.int32))
+        self.tables, cuts, of, total = [], [np.zeros(1, np.int64)], [], 0
+        for n in sorted(rows):
+            table, inverse = np.unique(np.concatenate(rows[n]), axis=0, return_inverse=True)
+            pairs = np.unique(np.column_stack([inverse.ravel(), np.concatenate(owners[n])]), axis=0)
+            named = pairs[pairs[:, 1] >= 0]
+            self.tables.append((n, total, table))
+            cuts.append(cuts[-1][-1] + np.searchsorted(named[:, 0], np.arange(1, len(table) + 1)))
+            of.append(named[:, 1].astype(np.int32))
+            total += len(table)
+        self.cut, self.of = np.concatenate(cuts), np.concatenate(of) if of else np.zeros(0, np.int32)
+        self.shortest = min(rows, default=0)
+
+    def items(self, phrases: set[int]) -> list[str]:
+        """Sorted names of the items that hold one of the phrases."""
+        found = {int(i) for p in phrases for i in self.of[self.cut[p] : self.cut[p + 1]]}
+        return [self.names[i] for i in sorted(found)]
 
 
 class FMIndex:
@@ -179,11 +205,10 @@ def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[t
     if not stretches:
         return out
     index = FMIndex(stretches, len(phrases.symbols))
-    lengths = np.array([len(p) for p in phrases.phrases])
     places, sizes, which = [], [], []
-    for n in np.unique(lengths):
-        at = np.flatnonzero(lengths == n)
-        lo, hi = index.search(np.array([phrases.phrases[i] for i in at], np.int64))
+    for n, first, table in phrases.tables:
+        at = first + np.arange(len(table))
+        lo, hi = index.search(table.astype(np.int64))
         count = hi - lo
         rows = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         places.append(index.locate(rows))
@@ -197,16 +222,20 @@ def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[t
     doc, begin, end, phrase = doc[order], begin[order], (begin + size)[order], phrase[order]
     edge = np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)] if len(doc) else [0]
     for a, b in zip(edge[:-1], edge[1:]):
-        items = sorted({i for p in set(phrase[a:b].tolist()) for i in phrases.items[p]})
+        items = phrases.items(set(phrase[a:b].tolist()))
         out[int(doc[a])] = (_merged(list(zip(begin[a:b].tolist(), end[a:b].tolist()))), items)
     return out
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    """The benchmark in blocks of about ``most`` bytes of text: one, unless the table is larger. The size is counted first."""
+    """The benchmark in blocks of about ``most`` bytes of memory: one, unless the table is larger. The size is counted first.
+
+    A byte of text is a sixth of a word or less, and a word begins a phrase of ten numbers; with the words themselves and what is held while
+    the tables are made, that is about MEMORY bytes for one of text.
+    """
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = max(1, -(-total // most))
+    blocks = max(1, -(-total * MEMORY // most))
     for k in range(blocks):
         yield [(r[0], r[1].encode()) for r in rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()]
 
@@ -223,7 +252,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def find_phrases(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    window: int = 10, max_benchmark_bytes: int = 64 << 20,
+    window: int = 10, max_benchmark_bytes: int = 256 << 20,
 ) -> DataFrame:
     """``docs`` with n_words, n_hit, spans (word ranges, end exclusive) and items (ids as strings, sorted).
 
@@ -232,6 +261,8 @@ def find_phrases(
     added = ["n_words", "n_hit", "spans", "items"]
     found = docs.drop(*[c for c in added if c != text_col])
     for k, block in enumerate(_blocks(benchmark, item_col, item_text_col, max_benchmark_bytes)):
+        if k:  # one block is live at a time: what the earlier ones found is written first
+            found = stage(found, "finds", "zstd")
         found = _search(found, Phrases(block, window), text_col, more=k > 0)
     return found
 
