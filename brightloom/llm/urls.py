@@ -60,14 +60,15 @@ def filter_urls(
     parsed = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url")).select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     ruled = parsed.withColumns({"rule": rule, "_ruled": verdict})
-    labelled = (
-        ruled.filter("_ruled is not null").select("host", "path", (F.col("_ruled") == "block").cast("double").alias("label")).distinct()
-        .orderBy(F.xxhash64("host", "path"), "host", "path").limit(max_train)
-    )
+    labelled = ruled.filter("_ruled is not null").select("host", "path", (F.col("_ruled") == "block").cast("double").alias("label")).distinct()
+    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}  # two rows
+    # about max_train / 2 of each verdict, by a hash of the URL: a rare verdict is learned from as well as a common one
+    share = F.create_map(*[F.lit(x) for label, n in counts.items() for x in (label, min(1.0, max_train / 2 / n))]) if counts else F.lit(None)
+    labelled = labelled.filter(F.pmod(F.xxhash64("host", "path"), F.lit(1 << 30)) < share[F.col("label")] * float(1 << 30)) if counts else labelled
     hasher = HashingTF(inputCol="_grams", outputCol="_features", numFeatures=buckets, binary=True)
-    # at most max_train short rows: one partition keeps the order of sums, and so the model, the same
-    train = hasher.transform(labelled.withColumn("_grams", grams(F.col("host"), F.col("path")))).select("_features", "label").coalesce(1).cache()
-    kinds = sorted(r[0] for r in train.select("label").distinct().collect())
+    # about max_train short rows at most: one sorted partition keeps the order of sums, and so the model, the same
+    train = hasher.transform(labelled.withColumn("_grams", grams(F.col("host"), F.col("path")))).coalesce(1).sortWithinPartitions("host", "path").select("_features", "label").cache()
+    kinds = sorted(counts)
     if len(kinds) == 2:
         model = LogisticRegression(featuresCol="_features", labelCol="label", probabilityCol="_prob", predictionCol="_pred", rawPredictionCol="_raw", maxIter=30, regParam=0.01).fit(train)
         scored = model.transform(hasher.transform(ruled.withColumn("_grams", grams(F.col("host"), F.col("path")))))
