@@ -20,32 +20,27 @@ DECONTAMINATE = f"""WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM do
  FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN spans USING (doc_id)"""
 
 
-def _mix() -> str:
-    fills, cases = [], []
-    for k in range(1, 5):
-        last = " AND (h, doc_id, size) > (t.lh, t.li, t.ln)" if k > 1 else ""
-        prior = "state" if k == 1 else f"s{k - 1}"
-        fills.append(f"""f{k} AS (SELECT d.src, h, d.doc_id, size, sum(size) OVER (PARTITION BY d.src ORDER BY h, d.doc_id, size) AS e, r FROM d JOIN {prior} t ON d.src IS NOT DISTINCT FROM t.src
- WHERE size > 0 AND size <= r{last}), u{k} AS (SELECT src, sum(size) AS used, max((h, doc_id, size)) AS m FROM f{k} WHERE e <= r GROUP BY 1),
- s{k} AS MATERIALIZED (SELECT t.src, r - coalesce(used, 0) AS r, (m)[1] AS lh, (m)[2] AS li, (m)[3] AS ln FROM {prior} t LEFT JOIN u{k} u ON t.src IS NOT DISTINCT FROM u.src)""")
-        cases.append(f"SELECT src, doc_id, h FROM f{k} WHERE e <= r")
-    return f"""WITH w AS MATERIALIZED (SELECT doc_id, source AS src, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
- d AS MATERIALIZED (SELECT *, coalesce(sum(size) OVER (PARTITION BY src ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2.0::DOUBLE AS middle FROM w),
- per AS (SELECT src, CAST(sum(size) AS BIGINT) AS s, 1 + (row_number() OVER (ORDER BY src NULLS LAST) - 1) % 3 AS w, (row_number() OVER (ORDER BY src NULLS LAST) - 1) % 3 AS k FROM d GROUP BY 1),
+MIX = """WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, source AS src, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+ per AS (SELECT src, CAST(sum(size) AS BIGINT) AS s, 1 + (row_number() OVER (ORDER BY src NULLS LAST) - 1) % 3 AS w, (row_number() OVER (ORDER BY src NULLS LAST) - 1) % 3 AS k FROM w GROUP BY 1),
  q AS (SELECT *, sum(s) OVER () AS total, sum(w) OVER () AS weights, coalesce(sum(3 * s) OVER o, 0) AS cap_before, coalesce(sum(w) OVER o, 0) AS w_before FROM per
  WINDOW o AS (ORDER BY CAST(3 * s AS DOUBLE) / w, src NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
  c AS (SELECT *, 3 * s * (weights - w_before) <= w * (total - cap_before) AS capped FROM q),
  g AS (SELECT *, CAST(total - coalesce(sum(3 * s) FILTER (capped) OVER (), 0) AS DOUBLE) / CAST(nullif(weights - coalesce(sum(w) FILTER (capped) OVER (), 0), 0) AS DOUBLE) AS share FROM c),
  t0 AS MATERIALIZED (SELECT src, s, CASE WHEN capped THEN CAST(3 * s AS DOUBLE) ELSE CAST(w AS DOUBLE) * share END AS target, CASE k WHEN 0 THEN -0.5 WHEN 1 THEN 0.0 ELSE 0.5 END::DOUBLE AS ramp FROM g),
  p0 AS MATERIALIZED (SELECT *, CASE WHEN s > 0 THEN CAST(floor(target / s) AS BIGINT) ELSE 0 END AS passes FROM t0),
- state AS (SELECT src, target - passes * s AS r FROM p0), {', '.join(fills)},
- last AS (SELECT DISTINCT src, doc_id FROM ({' UNION ALL '.join(cases)}) x)
+ d AS MATERIALIZED (SELECT w.*, target - passes * s AS r1, row_number() OVER o AS rn, coalesce(sum(size) OVER (PARTITION BY w.src ORDER BY cls DESC, h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2.0::DOUBLE AS middle
+ FROM (SELECT w.*, target, passes, s, CASE WHEN size > 0 AND size >= (target - passes * s) / 64 THEN length(bin(size)) - 1 ELSE 0 END AS cls FROM w JOIN p0 ON w.src IS NOT DISTINCT FROM p0.src) w WINDOW o AS (PARTITION BY w.src ORDER BY cls DESC, h, size)),
+ walk AS (SELECT src, CAST(0 AS BIGINT) AS rn, target - passes * s AS r, CAST(NULL AS BIGINT) AS doc_id, false AS took FROM p0
+ UNION ALL SELECT x.src, x.rn + 1, CASE WHEN size > 0 AND size <= r THEN r - size ELSE r END, d.doc_id, size > 0 AND size <= r FROM walk x JOIN d ON d.src IS NOT DISTINCT FROM x.src AND d.rn = x.rn + 1),
+ ends AS (SELECT src, arg_max(r, rn) AS r FROM walk GROUP BY 1),
+ least AS (SELECT d.src, d.doc_id, size, e.r FROM d JOIN walk x ON x.src IS NOT DISTINCT FROM d.src AND x.rn = d.rn JOIN ends e ON e.src IS NOT DISTINCT FROM d.src WHERE NOT took AND size > 0 AND e.r > 0
+ QUALIFY row_number() OVER (PARTITION BY d.src ORDER BY size, d.rn) = 1),
+ last AS (SELECT src, doc_id FROM walk WHERE took UNION ALL SELECT src, doc_id FROM least WHERE size - r < r)
  SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN round(CASE WHEN ramp = 0 THEN u ELSE (sqrt(greatest(0, (1 - ramp) * (1 - ramp) + 4 * ramp * u)) - (1 - ramp)) / (2 * ramp) END, 9) END AS first_position FROM (
- SELECT d.doc_id, d.size, p0.s AS source_size, p0.target, CASE WHEN d.size = 0 THEN 0 ELSE least(3, passes + CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END) * d.size END AS taken, ramp,
- least(1.0::DOUBLE, CASE WHEN passes > 0 THEN middle ELSE middle * (p0.target / p0.s) END / p0.target) AS u
+ SELECT d.doc_id, d.size, p0.s AS source_size, p0.target, CASE WHEN d.size = 0 THEN 0 ELSE least(3, p0.passes + CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END) * d.size END AS taken, ramp,
+ least(1.0::DOUBLE, CASE WHEN p0.passes > 0 THEN middle ELSE middle * (p0.target / p0.s) END / p0.target) AS u
  FROM d JOIN p0 ON d.src IS NOT DISTINCT FROM p0.src LEFT JOIN last l ON l.doc_id = d.doc_id AND l.src IS NOT DISTINCT FROM d.src) x"""
 
-
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 COLLOCATIONS = f"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
@@ -78,4 +73,4 @@ DIVERGENCE = f"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source,
  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
 
 
-SQL = {"op1_decontaminate": DECONTAMINATE, "op7_source_mix": _mix(), "op11_collocations": COLLOCATIONS, "op12_divergence": DIVERGENCE}
+SQL = {"op1_decontaminate": DECONTAMINATE, "op7_source_mix": MIX, "op11_collocations": COLLOCATIONS, "op12_divergence": DIVERGENCE}

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightloom.fixtures import table
 from brightloom.llm import collocations, decontaminate, divergence, flatgraph, language, lines, merkle, mixing, oracle, secrets, simhash, substrings, tokens, urls
-from brightloom.staging import stage
 
 
 def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
@@ -50,8 +49,7 @@ def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_source_mix(spark: SparkSession, sf: str) -> DataFrame:
-    sizes = stage(mixing.with_size(table(spark, sf, "documents")).select("doc_id", "source", "size"), "sizes")
-    planned = mixing.plan_mix(sizes, sizes)
+    planned = mixing.plan_mix(mixing.with_size(table(spark, sf, "documents")).select("doc_id", "source", "size"))
     return planned.select("doc_id", "size", "source_size", "target", "taken", F.when(F.col("copies") > 0, F.round(mixing.position(0), 9)).alias("first_position"))
 
 
