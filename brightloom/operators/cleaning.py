@@ -105,10 +105,24 @@ def impute_mode(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return _fill(df, {c: found.get(c, "Unknown") for c in cols})
 
 
-#: fixed values: forms tried after ISO text, in this order; of 3/4/2023 the month comes first
+#: fixed values: forms tried after ISO text, in this order
 DATE_FORMS = ("yyyyMMdd", "M/d/yyyy[ H:mm[:ss]]", "M-d-yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]", "MMM d, yyyy[ H:mm[:ss]]", "MMMM d, yyyy[ H:mm[:ss]]", "d MMM yyyy[ H:mm[:ss]]", "d MMMM yyyy[ H:mm[:ss]]")
 
 
+#: fixed values: forms with the day first, each beside the form that reads the same text with the month first
+DAY_FIRST = {"M/d/yyyy[ H:mm[:ss]]": "d/M/yyyy[ H:mm[:ss]]", "M-d-yyyy[ H:mm[:ss]]": "d-M-yyyy[ H:mm[:ss]]"}
+
+
+def date_votes(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
+    """Whether a column writes the day first: whether more of its values can be read so than with the month first.
+
+    One scan for all columns. 25/12/2023 so decides how 03/04/2023 is read; where all values can be read both ways the month comes first.
+    """
+    reads = lambda c, forms: F.count(F.coalesce(*[F.try_to_timestamp(F.trim(F.col(c)), F.lit(f)) for f in forms]))
+    votes = df.agg(*[reads(c, forms).alias(f"{side}{i}") for i, c in enumerate(columns) for side, forms in (("m", DAY_FIRST), ("d", DAY_FIRST.values()))]).first()
+    return {c: votes[f"d{i}"] > votes[f"m{i}"] for i, c in enumerate(columns)}
+
+
 def tolerant_date(c: Column, forms: Sequence[str] = DATE_FORMS) -> Column:
     """A date or time from ISO text or one of ``forms``, else null. Eight digits are a date, not a year."""
     text = F.trim(c)
@@ -120,12 +134,28 @@ def tolerant_date(c: Column, forms: Sequence[str] = DATE_FORMS) -> Column:
 def parse_dates(df: DataFrame, columns: Sequence[str] | None = None, forms: Sequence[str] = DATE_FORMS) -> DataFrame:
     """Parse text columns whose name holds 'date' or 'time', see ``tolerant_date``; text that is no date becomes null.
 
+    Each column votes on the order of day and month, see ``date_votes``; a value that can only be read in the other order is read so.
     Numeric columns are never parsed (``lifetime_value`` contains 'time').
     """
     cols = columns
     if cols is None:
         cols = [c for c in string_columns(df) if "date" in c.lower() or "time" in c.lower()]
-    return df.withColumns({c: tolerant_date(F.col(c), forms) for c in cols}) if cols else df
+    if not cols:
+        return df
+    first = date_votes(df, cols)
+    made = {}
+    for c in cols:
+        made[c] = tolerant_date(F.col(c), _ordered(forms, first[c]))
+    return df.withColumns(made)
+
+
+def _ordered(forms: Sequence[str], day_first: bool) -> list[str]:
+    """``forms`` with the day-first forms before or after those that read the same text with the month first."""
+    out = []
+    for f in forms:
+        both = (f, DAY_FIRST[f]) if f in DAY_FIRST else (f,)
+        out += reversed(both) if day_first else both
+    return out
 
 
 def clean_sales(df: DataFrame, approx: bool = False) -> DataFrame:

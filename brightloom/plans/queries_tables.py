@@ -332,6 +332,20 @@ SQL["clean_parse_dates"] = f"""{DIRTY} SELECT order_id, l_linenumber, l_partkey,
  strftime(TRY_CAST(date_text AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS date_text FROM dirty"""
 
 
+@query
+def clean_date_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Three columns of the same dates: the day first, the month first, and the day first but for every ninth order."""
+    d = fx.sales(spark, sf).select("order_id", "l_linenumber", "l_partkey", F.col("date").cast("timestamp_ntz").alias("at"))
+    form = lambda f: F.date_format("at", f)
+    mixed = F.when((F.col("order_id") % 9 == 0) & (F.dayofmonth("at") > 12), form("MM-dd-yyyy")).otherwise(form("dd-MM-yyyy"))
+    out = cleaning.parse_dates(d.select("order_id", "l_linenumber", "l_partkey", form("d/M/yyyy").alias("date_day"), form("M/d/yyyy").alias("date_month"), mixed.alias("date_mixed")))
+    return out.select("order_id", "l_linenumber", "l_partkey", *[F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("date_day", "date_month", "date_mixed")])
+
+
+SQL["clean_date_orders"] = f"""{SALES}, t AS (SELECT order_id, l_linenumber, l_partkey, strftime(CAST(date AS DATE), '%Y-%m-%d') AS d FROM sales)
+ SELECT order_id, l_linenumber, l_partkey, d AS date_day, d AS date_month, d AS date_mixed FROM t"""
+
+
 @query
 def mask_pii_documents(spark: SparkSession, sf: str) -> DataFrame:
     return fx.table(spark, sf, "documents").select("doc_id", mask_pii(F.col("text")).alias("masked"))
