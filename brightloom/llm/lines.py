@@ -43,9 +43,14 @@ def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def is_solid(line: Column) -> Column:
+    """Whether a line has anything but blanks, tabs and the controls 11 to 13; the search ends at the first such character."""
+    return line.rlike("[^\\x20\\x09\\x0B-\\x0D]")
+
+
 def first_lines(lines: DataFrame) -> DataFrame:
     """One row per distinct line: (_first: its first place, _line, _n: how often it stands in the table)."""
-    solid = lines.filter(F.length(F.trim(F.translate("_line", "\t\r\v\f", "    "))) > 0)
+    solid = lines.filter(is_solid(F.col("_line")))
     return (
         solid.groupBy(F.unhex(F.md5("_line")).alias("_digest"))
         .agg(F.min(F.struct("_id", "_doc", "_no", "_line")).alias("_m"), F.count(F.lit(1)).alias("_n"))
@@ -185,7 +190,7 @@ def count_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.split(F.col(text_col).cast("string"), "\n", -1).alias("_all"),
     ).select(
         "doc_id", "_id", "_doc", F.coalesce(F.size("_all"), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("_all").isNull(), 0).otherwise(F.size(F.filter("_all", lambda x: F.length(F.trim(F.translate(x, "\t\r\v\f", "    "))) == 0))).cast("long").alias("_blank"),
+        F.when(F.col("_all").isNull(), 0).otherwise(F.size(F.filter("_all", lambda x: ~is_solid(x)))).cast("long").alias("_blank"),
     ).withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
     per = (
         line_decisions(docs, id_col, text_col, **options).groupBy(F.col("_first")["_id"].alias("_id"), F.col("_first")["_doc"].alias("_doc"))
@@ -201,7 +206,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = line_decisions(docs, id_col, text_col, max_edits, min_length).filter(~F.col("_near")).select(
         F.col("_first")["_id"].alias("_id"), F.col("_first")["_doc"].alias("_doc"), F.col("_first")["_no"].alias("_no"), "_line"
     )
-    blank = split_lines(docs, id_col, text_col).filter(F.length(F.trim(F.translate("_line", "\t\r\v\f", "    "))) == 0).dropDuplicates(["_id", "_doc", "_no"])
+    blank = split_lines(docs, id_col, text_col).filter(~is_solid(F.col("_line"))).dropDuplicates(["_id", "_doc", "_no"])
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_no", "_line"))), lambda x: x["_line"]), "\n")
     texts = kept.unionByName(blank.select("_id", "_doc", "_no", "_line")).groupBy("_id", "_doc").agg(joined.alias("_kept"))
     packed = docs.select(
