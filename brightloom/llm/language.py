@@ -20,16 +20,18 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brightloom.llm.common import slices
+from brightloom.llm.common import batch_slices
 
 BUCKETS = 1 << 16
+#: bytes of text that are words at a time, words that are scored at a time, and words whose scores a task remembers
+DECODED, SCORED, CACHED = 1 << 20, 1 << 12, 1 << 17
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _NEVER = -50.0
@@ -82,7 +84,11 @@ class Model:
         self.langs, self.logs, self.scripts, self.common = langs, logs, scripts, common
 
     def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of words by language, and whether any language uses the word's script."""
+        """Scores of words by language, and whether any language uses the word's script; a few thousand words at a time."""
+        parts = [self._score(words[i : i + SCORED]) for i in range(0, len(words), SCORED)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         buckets = [buckets_of(w) for w in words]
         sizes = np.fromiter(map(len, buckets), np.int64, len(words))
         sums = np.add.reduceat(self.logs[np.fromiter(chain.from_iterable(buckets), np.int64, int(sizes.sum()))], np.cumsum(sizes) - sizes, axis=0)
@@ -90,7 +96,7 @@ class Model:
         of = {s: [s in have for have in self.scripts] for s in set(scripts)}
         allowed = np.array([of[s] for s in scripts])
         known = allowed.any(1)
-        return np.where(allowed, sums / sizes[:, None], np.where(known, _NEVER, 0.0)[:, None]), known
+        return np.where(allowed, sums / sizes[:, None], np.where(known, _NEVER, 0.0)[:, None]).astype(np.float32), known
 
 
 def fit(labelled: DataFrame, per_language: int = 1500, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -108,8 +114,9 @@ def fit(labelled: DataFrame, per_language: int = 1500, id_col: str = "doc_id", t
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             by: dict[str, Counter] = {}
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                by.setdefault(lang, Counter()).update(words_of(text))
+            for part in batch_slices([b], "text", DECODED):
+                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    by.setdefault(lang, Counter()).update(words_of(text))
             for lang, words in by.items():
                 table, scripts = np.zeros(BUCKETS, np.int64), Counter()
                 for w, n in words.items():
@@ -135,24 +142,32 @@ def fit(labelled: DataFrame, per_language: int = 1500, id_col: str = "doc_id", t
 
 
 class _Scores:
-    """Row of each distinct word in one growing table of scores."""
+    """Row of each distinct word in one table of scores, which doubles when it is full."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.row = model, {}
-        self.table = np.zeros((0, len(model.langs)), np.float32)
-        self.known, self.letters = np.zeros(0, bool), np.zeros(0, np.int64)
+        self.model, self.row, size = model, {}, 1 << 12
+        self._table, self._known, self._letters = np.zeros((size, len(model.langs)), np.float32), np.zeros(size, bool), np.zeros(size, np.int32)
 
     def rows(self, words: list[list[str]], n: int) -> np.ndarray:
         """Row of each of the n words, new ones added."""
-        row = self.row
+        row, at = self.row, len(self.row)
         new = list({w for ws in words for w in ws if w not in row})
         if new:
-            row.update(zip(new, range(len(row), len(row) + len(new))))
-            scored, known = self.model.score(new)
-            self.table = np.concatenate([self.table, scored.astype(np.float32)])
-            self.known = np.concatenate([self.known, known])
-            self.letters = np.concatenate([self.letters, np.fromiter(map(len, new), np.int64, len(new))])
-        return np.fromiter(map(row.__getitem__, chain.from_iterable(words)), np.int64, n)
+            row.update(zip(new, range(at, at + len(new))))
+            while len(self._known) < len(row):
+                self._table, self._known, self._letters = (np.concatenate([x, np.zeros_like(x)]) for x in (self._table, self._known, self._letters))
+            self._table[at : len(row)], self._known[at : len(row)] = self.model.score(new)
+            self._letters[at : len(row)] = np.fromiter(map(len, new), np.int32, len(new))
+        return np.fromiter(map(row.__getitem__, chain.from_iterable(words)), np.int32, n)
+
+    table = property(lambda self: self._table[: len(self.row)])
+    known = property(lambda self: self._known[: len(self.row)])
+    letters = property(lambda self: self._letters[: len(self.row)])
+
+
+def label_type(langs: int) -> np.dtype:
+    """The smallest type that numbers so many languages."""
+    return np.min_scalar_type(max(langs - 1, 0))
 
 
 def one_language(rows: np.ndarray, lengths: np.ndarray, table: np.ndarray, switch: float) -> tuple[np.ndarray, np.ndarray]:
@@ -186,12 +201,12 @@ def viterbi(rows: np.ndarray, lengths: np.ndarray, table: np.ndarray, switch: fl
     starts = (np.cumsum(lengths) - lengths)[order]
     sorted_lengths = lengths[order]
     langs = table.shape[1]
-    label = np.zeros(len(rows), np.uint8)
+    label = np.zeros(len(rows), label_type(langs))
     if not len(rows):
         return label
     # documents that still have a word at step t
     active = len(lengths) - np.searchsorted(sorted_lengths[::-1], np.arange(sorted_lengths[0]), side="right")
-    best_from = np.zeros(len(rows), np.uint8)
+    best_from = np.zeros(len(rows), label.dtype)
     switched = np.zeros((len(rows), langs), bool)
     state = np.zeros((len(lengths), langs), np.float32)
     for t, n in enumerate(active.tolist()):
@@ -213,32 +228,38 @@ def viterbi(rows: np.ndarray, lengths: np.ndarray, table: np.ndarray, switch: fl
     return label
 
 
-def label_texts(texts: list[str | None], model: Model, scores: _Scores, switch: float) -> tuple[list[str], list[float], list[list[tuple[str, int]]], list[float]]:
-    """Language, score, spans (language, words) and the share of letters in any language, of each text."""
-    words = [words_of(t) for t in texts]
-    lengths = np.array([len(w) for w in words], np.int64)
-    rows = scores.rows(words, int(lengths.sum()))
-    del words
+def label_texts(parts: Iterable[list[str | None]], model: Model, scores: _Scores, switch: float) -> tuple[list[str], list[float], list[list[tuple[str, int]]], list[float]]:
+    """Language, score, spans (language, words) and the share of letters in any language, of each text of all parts.
+
+    Texts are cut into words a part at a time; what is kept of a word is a number.
+    """
+    numbers, sizes = [], []
+    for texts in parts:
+        words = [words_of(t) for t in texts]
+        sizes += map(len, words)
+        numbers.append(scores.rows(words, sum(map(len, words))))
+        del words
+    rows, lengths = np.concatenate(numbers), np.array(sizes, np.int64)
     # a text in one language needs no search; the others are searched together
     language, certain = one_language(rows, lengths, scores.table, switch)
-    label = np.repeat(language, lengths).astype(np.uint8)
+    label = np.repeat(language.astype(label_type(len(model.langs))), lengths)
     mixed = np.repeat(~certain, lengths)
     label[mixed] = viterbi(rows[mixed], lengths[~certain], scores.table, switch)
     letters = scores.letters[rows]
     counted = np.where(scores.known[rows], letters, 0)
-    doc = np.repeat(np.arange(len(texts)), lengths)
-    langs = len(model.langs)
-    by = np.bincount(doc * langs + label, counted, len(texts) * langs).reshape(len(texts), langs)
-    total = np.bincount(doc, letters, len(texts))
+    n, langs = len(lengths), len(model.langs)
+    doc = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    by = np.bincount(doc * np.int64(langs) + label, counted, n * langs).reshape(n, langs)
+    total = np.bincount(doc, letters, n)
     best = by.argmax(1)
     edge = np.flatnonzero(np.r_[True, (label[1:] != label[:-1]) | (doc[1:] != doc[:-1])]) if len(rows) else np.zeros(0, np.int64)
     width = np.diff(np.r_[edge, len(rows)])
-    spans: list[list[tuple[str, int]]] = [[] for _ in texts]
+    spans: list[list[tuple[str, int]]] = [[] for _ in range(n)]
     for d, l, w in zip(doc[edge].tolist(), label[edge].tolist(), width.tolist()):
         spans[d].append((model.langs[l], w))
     names, shares = [], []
     covered = (by.sum(1) / np.maximum(total, 1)).tolist()
-    for i in range(len(texts)):
+    for i in range(n):
         if not total[i]:
             names.append(UNKNOWN)
             shares.append(0.0)
@@ -248,7 +269,7 @@ def label_texts(texts: list[str | None], model: Model, scores: _Scores, switch:
     return names, shares, spans, covered
 
 
-def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str = "text", batch_chars: int = 1 << 23, added: tuple[str, ...] = ("lang_pred", "score", "spans")) -> DataFrame:
+def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str = "text", batch_bytes: int = 1 << 22, added: tuple[str, ...] = ("lang_pred", "score", "spans")) -> DataFrame:
     """``docs`` with the columns ``added``: language, score, spans, (lang, words) in order, and, if a fourth is named, the share
     of letters whose word was scored for a language.
 
@@ -266,21 +287,19 @@ def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         scores = _Scores(m)
-        for b in batches:
-            # a batch is cut by its characters, so that long texts do not add up
-            texts, lo = b.column(at).to_pylist(), 0
-            for part in slices(texts, lambda t: len(t or "") + 1, batch_chars):
-                if m.langs:
-                    names, shares, spans, covered = label_texts(part, m, scores, switch)
-                else:
-                    names, shares, spans, covered = [UNKNOWN] * len(part), [0.0] * len(part), [[] for _ in part], [0.0] * len(part)
-                rows = b.slice(lo, len(part))
-                lo += len(part)
-                found = [pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array([[{"lang": a, "words": n} for a, n in s] for s in spans], spans_type)]
-                found += [pa.array(covered, pa.float64())] * len(added[3:])
-                yield pa.RecordBatch.from_arrays([*(rows.column(rows.schema.get_field_index(c)) for c in kept), *found], [*kept, *added])
-                if len(scores.row) > 1 << 18:  # the table of distinct words is rebuilt as needed
-                    scores = _Scores(m)
+        for b in batch_slices(batches, text_col, batch_bytes):
+            if m.langs:
+                # decoded a megabyte at a time; texts with several languages are searched together
+                decoded = (part.column(at).to_pylist() for part in batch_slices([b], text_col, DECODED))
+                names, shares, spans, covered = label_texts(decoded, m, scores, switch)
+            else:
+                n = b.num_rows
+                names, shares, spans, covered = [UNKNOWN] * n, [0.0] * n, [[] for _ in range(n)], [0.0] * n
+            found = [pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array([[{"lang": a, "words": n} for a, n in s] for s in spans], spans_type)]
+            found += [pa.array(covered, pa.float64())] * len(added[3:])
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), *found], [*kept, *added])
+            if len(scores.row) > CACHED:  # the table of distinct words is made anew as needed
+                scores = _Scores(m)
 
     return docs.mapInArrow(run, schema)
 
