@@ -1,9 +1,12 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from brightloom.operators import reports
 from brightloom.plans.enrich import Steps
 from brightloom.sources import readers, sinks
+from brightloom.staging import stage
 from brightloom.streaming import events as ev
 
 
@@ -108,3 +111,14 @@ def test_transform_report_without_time(spark):
 def test_step_chain(spark):
     chain = Steps().add("double", lambda df: df.withColumn("id", F.col("id") * 2)).add("limit", lambda df, top: df.filter(F.col("id") < top), top=6)
     assert [r[0] for r in chain.run(spark.range(10)).collect()] == [0, 2, 4]
+
+
+@pytest.mark.parametrize("n", [1, 40, 700, 5000])
+def test_head_is_cut_by_counting(spark, n):
+    rng = random.Random(n)
+    rows = [(None if rng.random() < 0.1 else rng.randint(0, 3), rng.choice([None, "a", "b", "ä"]), i) for i in range(3000)]
+    df = stage(spark.createDataFrame(rows, "a int, b string, c long").repartition(5), "head")
+    order = sorted(rows, key=lambda r: [(v is not None, v.encode() if isinstance(v, str) else v if v is not None else 0) for v in r])
+    cut = sinks.counted_head(df, ["a", "b", "c"], n)
+    assert min(n, 3000) <= cut.count() <= max(2 * n, 1)
+    assert [tuple(r) for r in sinks.extract_head(df, ["a", "b", "c"], n).collect()] == order[:n]
