@@ -300,6 +300,9 @@ def predict(docs: DataFrame, model: Model, switch: float = 6.0, text_col: str =
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), *found], [*kept, *added])
             if len(scores.row) > CACHED:  # the table of distinct words is made anew as needed
                 scores = _Scores(m)
+        # the worker stays; what it held goes back to the machine
+        del scores
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 
