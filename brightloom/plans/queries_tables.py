@@ -163,7 +163,7 @@ SQL["gen_customers"] = f"""WITH b AS (SELECT c_custkey AS customer_id, {_pick(_c
 @query
 def gen_series(spark: SparkSession, sf: str) -> DataFrame:
     g = generators.synthetic_series(fx.table(spark, sf, "supplier").select("s_suppkey"), "s_suppkey")
-    return g.select("series_id", F.date_format("ds", "yyyy-MM-dd").alias("ds"), r("y").alias("y"))
+    return g.select("series_id", F.col("ds").cast("string").alias("ds"), r("y").alias("y"))
 
 
 _k = "(CAST(s_suppkey AS VARCHAR) || ':' || CAST(i AS VARCHAR))"

@@ -116,9 +116,13 @@ def synthetic_customers(ids: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def synthetic_series(ids: DataFrame, key: str, noise: float = 50.0) -> DataFrame:
-    """For each id a daily series 2020-2023: trend 1000 to 1500, a yearly wave of 200 and normal noise."""
+    """For each id a daily series 2020-2023: trend 1000 to 1500, a yearly wave of 200 and normal noise.
+
+    A short list of ids makes very many rows, so the ids are dealt over a given number of tasks, which are not put together again.
+    """
     days = F.sequence(F.lit("2020-01-01").cast("date"), F.lit("2023-12-31").cast("date"))
-    rows = ids.select(F.col(key).cast("string").alias("series_id"), F.posexplode(days).alias("i", "ds"))
+    dealt = ids.repartition(int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    rows = dealt.select(F.col(key).cast("string").alias("series_id"), F.posexplode(days).alias("i", "ds"))
     h = digest(F.concat(F.col("series_id"), F.lit(":"), F.col("i").cast("string")), "ds")
     wave = F.lit(200.0) * F.sin(F.lit(2.0) * F.pi() * F.col("i") / 365)
     trend = F.lit(1000.0) + F.lit(500.0) * F.col("i") / F.lit(float(DAYS - 1))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from brightloom.operators import reports
 from brightloom.plans.enrich import Steps
-from brightloom.sources import readers, sinks
+from brightloom.sources import generators, readers, sinks
 from brightloom.staging import stage
 from brightloom.streaming import events as ev
 
@@ -122,3 +122,8 @@ def test_head_is_cut_by_counting(spark, n):
     cut = sinks.counted_head(df, ["a", "b", "c"], n)
     assert min(n, 3000) <= cut.count() <= max(2 * n, 1)
     assert [tuple(r) for r in sinks.extract_head(df, ["a", "b", "c"], n).collect()] == order[:n]
+
+
+def test_few_ids_make_series_in_many_tasks(spark):
+    made = generators.synthetic_series(spark.range(20).coalesce(1), "id")
+    assert made.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) and made.count() == 20 * 1461
