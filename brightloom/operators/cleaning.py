@@ -113,12 +113,37 @@ DATE_FORMS = ("yyyyMMdd", "M/d/yyyy[ H:mm[:ss]]", "M-d-yyyy[ H:mm[:ss]]", "yyyy/
 DAY_FIRST = {"M/d/yyyy[ H:mm[:ss]]": "d/M/yyyy[ H:mm[:ss]]", "M-d-yyyy[ H:mm[:ss]]": "d-M-yyyy[ H:mm[:ss]]"}
 
 
+_MONTH, _DAY = "0*(1[0-2]|[1-9])", "0*([12][0-9]|3[01]|[1-9])"
+#: fixed values: what a text must match to be read in a form. Text that cannot be parsed costs Spark an exception per value and form,
+#: many times a parsed one, so forms are only tried where they may succeed; forms that are not listed are tried on every text
+MUST_MATCH = {
+    "yyyyMMdd": r"^[+-]?[0-9]{8,}$", "yyyy/M/d[ H:mm[:ss]]": rf"^[+-]?[0-9]+/{_MONTH}/{_DAY}",
+    "M/d/yyyy[ H:mm[:ss]]": f"^{_MONTH}/{_DAY}/", "M-d-yyyy[ H:mm[:ss]]": f"^{_MONTH}-{_DAY}-",
+    "d/M/yyyy[ H:mm[:ss]]": f"^{_DAY}/{_MONTH}/", "d-M-yyyy[ H:mm[:ss]]": f"^{_DAY}-{_MONTH}-",
+    **{f"{m} d, yyyy[ H:mm[:ss]]": rf"^[^0-9].* {_DAY}, " for m in ("MMM", "MMMM")}, **{f"d {m} yyyy[ H:mm[:ss]]": f"^{_DAY} [^0-9]" for m in ("MMM", "MMMM")},
+}
+
+
+_LATE = "0*(1[3-9]|2[0-9]|3[01])"
+#: fixed values: the same for text that can only be read in this order of day and month, as its day is not a month
+MUST_DECIDE = {
+    "M/d/yyyy[ H:mm[:ss]]": f"^{_MONTH}/{_LATE}/", "M-d-yyyy[ H:mm[:ss]]": f"^{_MONTH}-{_LATE}-",
+    "d/M/yyyy[ H:mm[:ss]]": f"^{_LATE}/{_MONTH}/", "d-M-yyyy[ H:mm[:ss]]": f"^{_LATE}-{_MONTH}-",
+}
+
+
+def _read(text: Column, form: str, where: dict[str, str] = MUST_MATCH) -> Column:
+    """``text`` as a timestamp written in ``form``, else null."""
+    read = F.try_to_timestamp(text, F.lit(form))
+    return F.when(text.rlike(where[form]), read) if form in where else read
+
+
 def date_votes(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
     """Whether a column writes the day first: whether more of its values can be read so than with the month first.
 
-    One scan for all columns. 25/12/2023 so decides how 03/04/2023 is read; where all values can be read both ways the month comes first.
+    One scan for all columns. Text that can be read both ways counts on both sides, so only text that cannot is parsed. 25/12/2023 so decides how 03/04/2023 is read; where all values can be read both ways the month comes first.
     """
-    reads = lambda c, forms: F.count(F.coalesce(*[F.try_to_timestamp(F.trim(F.col(c)), F.lit(f)) for f in forms]))
+    reads = lambda c, forms: F.count(F.coalesce(*[_read(F.trim(F.col(c)), f, MUST_DECIDE) for f in forms]))
     votes = df.agg(*[reads(c, forms).alias(f"{side}{i}") for i, c in enumerate(columns) for side, forms in (("m", DAY_FIRST), ("d", DAY_FIRST.values()))]).first()
     return {c: votes[f"d{i}"] > votes[f"m{i}"] for i, c in enumerate(columns)}
 
@@ -126,7 +151,7 @@ def date_votes(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
 def tolerant_date(c: Column, forms: Sequence[str] = DATE_FORMS) -> Column:
     """A date or time from ISO text or one of ``forms``, else null. Eight digits are a date, not a year."""
     text = F.trim(c)
-    tried = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in forms]
+    tried = [_read(text, f).cast("timestamp_ntz") for f in forms]
     iso = F.when(~text.rlike("^[0-9]+$") | (F.length(text) <= 4), text.try_cast("timestamp_ntz"))
     return F.coalesce(iso, *tried)
 

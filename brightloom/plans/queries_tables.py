@@ -339,7 +339,7 @@ def clean_date_orders(spark: SparkSession, sf: str) -> DataFrame:
     form = lambda f: F.date_format("at", f)
     mixed = F.when((F.col("order_id") % 9 == 0) & (F.dayofmonth("at") > 12), form("MM-dd-yyyy")).otherwise(form("dd-MM-yyyy"))
     out = cleaning.parse_dates(d.select("order_id", "l_linenumber", "l_partkey", form("d/M/yyyy").alias("date_day"), form("M/d/yyyy").alias("date_month"), mixed.alias("date_mixed")))
-    return out.select("order_id", "l_linenumber", "l_partkey", *[F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("date_day", "date_month", "date_mixed")])
+    return out.select("order_id", "l_linenumber", "l_partkey", *[F.to_date(c).cast("string").alias(c) for c in ("date_day", "date_month", "date_mixed")])
 
 
 SQL["clean_date_orders"] = f"""{SALES}, t AS (SELECT order_id, l_linenumber, l_partkey, strftime(CAST(date AS DATE), '%Y-%m-%d') AS d FROM sales)

@@ -115,3 +115,17 @@ def test_customer_stats_need_their_columns(spark):
     with pytest.raises(ValueError):
         business.customer_stats(df)
     assert business.with_customer_stats(df).columns == df.columns
+
+
+def test_forms_are_tried_only_where_they_may_succeed(spark):
+    forms = [*cleaning.DATE_FORMS, *cleaning.DAY_FIRST.values()]
+    assert set(forms) == set(cleaning.MUST_MATCH)
+    numbers, ends = ["1", "009", "12", "13", "31", "32", "0", "-1", "+1", "2020", "+2021"], ["", " 1:02", " 01:02:03", " 25:00", "x"]
+    texts = {f"{a}{s}{b}{s}{c}{e}" for s in "/- " for a in numbers for b in numbers for c in ("5", "31", "2020") for e in ends}
+    texts |= {f"{m} {d}{s}2020{e}" for m in ("Jan", "may", "DECEMBER", "13") for d in numbers for s in (", ", ",", " ") for e in ends}
+    texts |= {f"{d} {m} 2020{e}" for m in ("Jan", "may", "DECEMBER", "13") for d in numbers for e in ends} | {"20200131", "20201331", "+20200131", "020200131", "2020013", ""}
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "t string")
+    for f in forms:
+        plain, guarded = F.try_to_timestamp("t", F.lit(f)), cleaning._read(F.col("t"), f)
+        got = df.agg(F.count(plain).alias("read"), F.count_if(~plain.eqNullSafe(guarded)).alias("off"), F.count_if(F.col("t").rlike(cleaning.MUST_MATCH[f])).alias("tried")).first()
+        assert got.read and not got.off and got.tried < len(texts) / 2, f
