@@ -3,7 +3,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from brightloom.operators import ordered, rolling
+from brightloom.operators import joins, ordered, rolling
+from brightloom.staging import stage
 
 
 def numbers(n=400, seed=3, gaps=True):
@@ -128,3 +129,15 @@ def test_chunks_stay_small_when_one_key_holds_most_rows(many_parts):
     chunked = ordered.with_halo(ordered.row_index(df, ["id"], ["g"]), reach=20, chunk_rows=100)
     sizes = chunked.groupBy("_chunk").count().agg(F.max("count")).first()[0]
     assert sizes <= 120 and chunked.filter("_own").count() == 3000
+
+
+def test_long_lookup_tables_are_not_built_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 5)
+    rows = spark.createDataFrame([(i % 8, i) for i in range(40)] + [(None, 40)], "k long, x long")
+    for n, small in ((8, False), (5, True)):
+        stats = stage(spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 10).alias("y"), F.lit(5).cast("long").alias("n")), "stats")
+        for how in ("left", "inner"):
+            out = joins.lookup_join(rows, stats, ["k"], weight="n", how=how)
+            assert ("BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()) == small
+            want = [(r.k, r.x, r.k * 10 if r.k is not None and r.k < n else None) for r in rows.collect()]
+            assert sorted(map(str, out.select("k", "x", "y").collect())) == sorted(f"Row(k={k}, x={x}, y={y})" for k, x, y in want if how == "left" or y is not None)
