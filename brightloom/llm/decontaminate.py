@@ -1,7 +1,7 @@
 """Benchmark decontamination with an FM-index per training shard.
 
-A shard is a bounded run of documents of one partition. Its words become symbols: words of the benchmark get a number each,
-all others break the text. Stretches between breaks that are shorter than the shortest test phrase cannot hold one and are not
+A shard is a bounded run of documents of one partition. Its words become symbols, a piece of a text at a time: words of the
+benchmark get a number each, all others break the text. Stretches between breaks that are shorter than the shortest test phrase cannot hold one and are not
 indexed. Over the rest an index is built: suffix array (rank doubling), Burrows-Wheeler string, wavelet matrix with ranks, and
 suffix positions sampled every ``SAMPLE`` words and at each stretch's start. All test phrases are searched backward at once, and
 the rows found are walked to a sampled position. The removal spans of a document are the merged occurrences.
@@ -12,6 +12,8 @@ the rows found are walked to a sampled position. The removal spans of a document
 * Null text has no words. Items with null text or without words hold no phrase. Words hit by an item whose id is null are hit;
   such an item is not listed. Items may repeat an id; it is listed once. Rows of ``docs`` stay as they are, repeated ids too.
 * A document longer than a shard is a shard of its own, so no phrase is cut.
+* A task holds one Arrow batch, the symbols of a shard (4 bytes a word) and its index (about 100 bytes an indexed word while it is
+  made); texts are cut in the same pass, and what a worker held goes back to the machine after the task.
 """
 
 from __future__ import annotations
@@ -22,23 +24,38 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from brightloom.llm.common import slices, texts_of
+from brightloom.llm.common import batch_slices, release_memory, slices, texts_of
 from brightloom.staging import stage
 
 #: words of a shard
 SHARD_WORDS = 1 << 20
+#: bytes of text that are Python words at a time
+PIECE = 1 << 18
 #: distance of sampled suffix positions
 SAMPLE = 8
 #: bytes of memory for a byte of the benchmark's text
 MEMORY = 32
 #: bytes that are not part of a word become spaces, A-Z becomes a-z: words are [0-9a-z] and all bytes from 0x80
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+#: columns of what is found
+ADDED = ["n_words", "n_hit", "spans", "items"]
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(WORD_BYTES).split() if text else []
 
 
+def symbols_of(text: bytes | None, symbols: dict[bytes, int]) -> np.ndarray:
+    """The words of a text as symbols, 0 for words that have none."""
+    clean, found, at = (text or b"").translate(WORD_BYTES), [np.zeros(0, np.int32)], 0
+    while at < len(clean):
+        end = clean.find(b" ", at + PIECE) if at + PIECE < len(clean) else -1
+        words = clean[at : end if end >= 0 else len(clean)].split()
+        found.append(np.fromiter((symbols.get(w, 0) for w in words), np.int32, len(words)))
+        at = end if end >= 0 else len(clean)
+    return np.concatenate(found)
+
+
 class Phrases:
     """The test phrases of a benchmark: words as symbols from 1, distinct phrases by length, and the items of each.
 
@@ -83,7 +100,7 @@ class FMIndex:
     def __init__(self, stretches: list[np.ndarray], symbols: int) -> None:
         lengths = np.array([len(s) for s in stretches], np.int64)
         # a stretch is followed by symbol 0; such ends are ordered by place, so all suffixes differ
-        self.text = np.zeros(int(lengths.sum()) + len(lengths), np.int64)
+        self.text = np.zeros(int(lengths.sum()) + len(lengths), np.int32)
         self.starts = np.cumsum(lengths + 1) - (lengths + 1)
         inside = np.ones(len(self.text), bool)
         inside[self.starts + lengths] = False
@@ -100,7 +117,7 @@ class FMIndex:
         at_start = np.zeros(self.n, bool)
         at_start[self.starts] = True
         self.sampled = sampled | at_start[self.sa]
-        self.sample_rank = np.cumsum(self.sampled) - self.sampled
+        self.sample_rank = np.cumsum(self.sampled, dtype=np.int32) - self.sampled
         self.samples = self.sa[self.sampled]
         del self.sa
 
@@ -109,23 +126,23 @@ class FMIndex:
         n, text = self.n, self.text
         # ends rank by place, below all words
         ends = np.flatnonzero(text == 0)
-        rank0 = text + len(ends)
+        rank0 = text + np.int32(len(ends))
         rank0[ends] = np.arange(len(ends))
         bits = max(1, int(rank0.max(initial=0) + 1).bit_length())
         take = max(1, min(n, 62 // bits))
         key, alive = np.zeros(n, np.int64), np.ones(n, bool)
         for i in range(take):
             # nothing after an end counts: the end is unique already
-            part = np.zeros(n, np.int64)
-            part[: n - i] = rank0[i:] + 1
-            key = (key << bits) | np.where(alive, part, 0)
-            ended = np.zeros(n, bool)
-            ended[: n - i] = text[i:] == 0
-            alive &= ~ended
-        sa = np.argsort(key, kind="stable")
-        rank = np.empty(n, np.int64)
-        new = np.r_[True, key[sa][1:] != key[sa][:-1]]
-        group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            key <<= bits
+            np.bitwise_or(key[: n - i], rank0[i:] + 1, out=key[: n - i], where=alive[: n - i])
+            alive[: n - i] &= text[i:] != 0
+        del rank0, alive
+        sa = np.argsort(key, kind="stable").astype(np.int32)
+        key = key[sa]
+        new = np.r_[True, key[1:] != key[:-1]]
+        del key
+        group = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
+        rank = np.empty(n, np.int32)
         rank[sa] = group
         length = take
         while True:
@@ -133,7 +150,7 @@ class FMIndex:
             if not len(tied):
                 return sa
             place = sa[tied]
-            later = rank[np.minimum(place + length, n - 1)]  # tied suffixes are longer than what is sorted
+            later = rank[np.minimum(place + min(length, n), n - 1)]  # tied suffixes are longer than what is sorted
             order = np.lexsort((later, group[tied]))
             sa[tied] = place[order]
             g, l = group[tied], later[order]
@@ -144,22 +161,36 @@ class FMIndex:
             length *= 2
 
     def _wavelet(self, seq: np.ndarray) -> None:
-        self.ranks, self.zeros = [], []
+        """Each level: 64 bits to a number, the ones before each, and how many zeros there are."""
+        self.bits, self.ones, self.zeros = [], [], []
         for level in range(self.levels - 1, -1, -1):
             bit = ((seq >> level) & 1).astype(bool)
-            self.ranks.append(np.r_[0, np.cumsum(bit)].astype(np.int32))
+            packed = np.zeros(8 * (len(seq) // 64 + 1), np.uint8)
+            packed[: -(-len(seq) // 8)] = np.packbits(bit, bitorder="little")
+            self.bits.append(packed.view("<u8"))
+            count = np.bitwise_count(self.bits[-1])
+            self.ones.append(np.cumsum(count, dtype=np.int32) - count)
             self.zeros.append(int(len(seq) - bit.sum()))
             seq = np.concatenate([seq[~bit], seq[bit]])
+        # where each symbol's rows begin below the last level
+        every = np.arange(1 << self.levels, dtype=np.int32)
+        self.base = self._below(every, np.zeros(len(every), np.int64))
+
+    def _ones(self, k: int, row: np.ndarray) -> np.ndarray:
+        """Ones of a level before each row."""
+        block, inside = row >> 6, (np.uint64(1) << (row & 63).astype(np.uint64)) - np.uint64(1)
+        return self.ones[k][block] + np.bitwise_count(self.bits[k][block] & inside)
+
+    def _below(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rows followed through all levels, each as if it had the symbol."""
+        for k, level in enumerate(range(self.levels - 1, -1, -1)):
+            ones = self._ones(k, at)
+            at = np.where((symbol >> level) & 1, self.zeros[k] + ones, at - ones)
+        return at
 
     def rank(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Occurrences of each symbol in the Burrows-Wheeler string before each row."""
-        start, at = np.zeros(len(row), np.int64), row.astype(np.int64)
-        for k, level in enumerate(range(self.levels - 1, -1, -1)):
-            one = ((symbol >> level) & 1).astype(bool)
-            ra, rs = self.ranks[k][at], self.ranks[k][start]
-            at = np.where(one, self.zeros[k] + ra, at - ra)
-            start = np.where(one, self.zeros[k] + rs, start - rs)
-        return at - start
+        return self._below(symbol, row.astype(np.int64)) - self.base[symbol]
 
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranges of rows (from, to) of phrases of one length: a row of symbols each."""
@@ -189,12 +220,10 @@ class FMIndex:
         return out
 
 
-def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[tuple[int, int]], list[str]]]:
-    """(spans, items) of each document, given as its words; spans are word ranges, end exclusive, merged."""
+def search_shard(docs: list[np.ndarray], phrases: Phrases) -> list[tuple[list[tuple[int, int]], list[str]]]:
+    """(spans, items) of each document, given as its symbols; spans are word ranges, end exclusive, merged."""
     stretches, origin = [], []
-    lookup = phrases.symbols.get
-    for d, words in enumerate(docs):
-        ids = np.fromiter((lookup(w, 0) for w in words), np.int32, len(words))
+    for d, ids in enumerate(docs):
         inside = np.r_[False, ids > 0, False]
         edge = np.flatnonzero(inside[1:] != inside[:-1])
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
@@ -208,12 +237,12 @@ def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[t
     places, sizes, which = [], [], []
     for n, first, table in phrases.tables:
         at = first + np.arange(len(table))
-        lo, hi = index.search(table.astype(np.int64))
+        lo, hi = index.search(table)
         count = hi - lo
         rows = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        places.append(index.locate(rows))
-        sizes.append(np.full(len(rows), n))
-        which.append(np.repeat(at, count))
+        places.append(index.locate(rows).astype(np.int32))
+        sizes.append(np.full(len(rows), n, np.int32))
+        which.append(np.repeat(at.astype(np.int32), count))
     place, size, phrase = np.concatenate(places), np.concatenate(sizes), np.concatenate(which)
     stretch = np.searchsorted(index.starts, place, side="right") - 1
     doc_of, first_of = (np.array(x, np.int64) for x in zip(*origin))
@@ -227,8 +256,9 @@ def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[t
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    """The benchmark in blocks of about ``most`` bytes of memory: one, unless the table is larger. The size is counted first.
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> Iterator[tuple[list[tuple[str | None, bytes]], bool]]:
+    """The benchmark in blocks of about ``most`` bytes of memory, each with whether it is the last: one, unless the table is larger. The size
+    is counted first.
 
     A byte of text is a sixth of a word or less, and a word begins a phrase of ten numbers; with the words themselves and what is held while
     the tables are made, that is about MEMORY bytes for one of text.
@@ -237,7 +267,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> It
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-total * MEMORY // most))
     for k in range(blocks):
-        yield [(r[0], r[1].encode()) for r in rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()]
+        yield [(r[0], r[1].encode()) for r in rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()], k == blocks - 1
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -258,45 +288,70 @@ def find_phrases(
 
     Input columns of these names are replaced, all others stay.
     """
-    added = ["n_words", "n_hit", "spans", "items"]
-    found = docs.drop(*[c for c in added if c != text_col])
-    for k, block in enumerate(_blocks(benchmark, item_col, item_text_col, max_benchmark_bytes)):
+    return _all_blocks(docs, benchmark, text_col, item_col, item_text_col, window, max_benchmark_bytes)
+
+
+def _all_blocks(
+    docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str = "item_id", item_text_col: str = "text",
+    window: int = 10, max_benchmark_bytes: int = 256 << 20, gap: bytes | None = None,
+) -> DataFrame:
+    """``find_phrases``; with a gap, ``docs`` without the spans instead, cut in the pass over the last block."""
+    found = docs.drop(*[c for c in ADDED if c != text_col])
+    for k, (block, last) in enumerate(_blocks(benchmark, item_col, item_text_col, max_benchmark_bytes)):
         if k:  # one block is live at a time: what the earlier ones found is written first
             found = stage(found, "finds", "zstd")
-        found = _search(found, Phrases(block, window), text_col, more=k > 0)
+        found = _search(found, Phrases(block, window), text_col, more=k > 0, gap=gap if last else None)
     return found
 
 
-def _search(docs: DataFrame, phrases: Phrases, text_col: str, more: bool) -> DataFrame:
+def _search(docs: DataFrame, phrases: Phrases, text_col: str, more: bool, gap: bytes | None) -> DataFrame:
     """One block of the benchmark; with ``more``, its finds are added to those that ``docs`` already carries."""
     shared = docs.sparkSession.sparkContext.broadcast(phrases)
-    added = ["n_words", "n_hit", "spans", "items"]
-    kept = [c for c in docs.columns if c not in added]
-    at = docs.columns.index(text_col)
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept] + ["n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<string>"]
-    )
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema if f.name not in ADDED}
+    if gap is not None:
+        kinds[text_col] = "string"
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in kinds.items())
+    if gap is None:
+        schema += ", n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<string>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from searched(batches, shared.value, text_col, list(kinds), more, gap)
+        release_memory()
+
+    return docs.mapInArrow(run, schema)
+
+
+def searched(batches: Iterator[pa.RecordBatch], phrases: Phrases, text_col: str, kept: list[str], more: bool = False, gap: bytes | None = None) -> Iterator[pa.RecordBatch]:
+    """The rows with the columns ``kept`` and ``ADDED``, a batch for each shard; with a gap, only those kept, and the text cut."""
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def shard(rows: pa.RecordBatch, words: list[list[bytes]]) -> pa.RecordBatch:
-        found = search_shard(words, shared.value)
+    def shard(rows: pa.RecordBatch, docs: list[np.ndarray]) -> pa.RecordBatch:
+        column = lambda c: rows.column(rows.schema.get_field_index(c))
+        found = search_shard(docs, phrases)
         if more:
-            before = zip(rows.column(rows.schema.get_field_index("spans")).to_pylist(), rows.column(rows.schema.get_field_index("items")).to_pylist())
+            before = zip(column("spans").to_pylist(), column("items").to_pylist())
             found = [(_merged([*s, *((x["start"], x["end"]) for x in old)]), sorted({*i, *items})) for (s, i), (old, items) in zip(found, before)]
+        if gap is not None:
+            return pa.RecordBatch.from_arrays([_cut_texts(column(c), found, gap) if c == text_col else column(c) for c in kept], kept)
         values = [
-            pa.array(map(len, words), pa.int64()), pa.array([sum(e - s for s, e in f[0]) for f in found], pa.int64()),
+            pa.array(map(len, docs), pa.int64()), pa.array([sum(e - s for s, e in f[0]) for f in found], pa.int64()),
             pa.array([[{"start": s, "end": e} for s, e in f[0]] for f in found], spans_type), pa.array([f[1] for f in found], pa.list_(pa.string())),
         ]
-        return pa.RecordBatch.from_arrays([*(rows.column(rows.schema.get_field_index(c)) for c in kept), *values], [*kept, *added])
+        return pa.RecordBatch.from_arrays([*map(column, kept), *values], [*kept, *ADDED])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lo = 0
-            for part in slices(map(words_of, texts_of(b.column(at))), len, SHARD_WORDS):
-                yield shard(b.slice(lo, len(part)), part)
-                lo += len(part)
+    for b in batches:
+        lo = 0
+        texts = (t for part in batch_slices([b], text_col, PIECE) for t in texts_of(part.column(part.schema.get_field_index(text_col))))
+        for docs in slices((symbols_of(t, phrases.symbols) for t in texts), len, SHARD_WORDS):
+            yield shard(b.slice(lo, len(docs)), docs)
+            lo += len(docs)
 
-    return docs.mapInArrow(run, schema)
+
+def _cut_texts(texts: pa.Array, found: list[tuple[list[tuple[int, int]], list[str]]], gap: bytes) -> pa.Array:
+    """A string column without the spans found in its rows."""
+    if not any(spans for spans, _ in found):
+        return texts.cast(pa.string())
+    return pa.array([cut(t, spans, gap) if spans else t for t, (spans, _) in zip(texts_of(texts), found)], pa.binary()).cast(pa.string())
 
 
 def cut(text: bytes, spans: list[tuple[int, int]], gap: bytes = b" ") -> bytes:
@@ -314,14 +369,5 @@ def cut(text: bytes, spans: list[tuple[int, int]], gap: bytes = b" ") -> bytes:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", gap: str = " ", **options) -> DataFrame:
     """``docs`` without the benchmark's passages: the same columns, with ``gap`` in place of each removal span of the text."""
     packed = docs.select(F.col(text_col).alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("_row"))
-    found = find_phrases(packed, benchmark, "_text", **options).select("_text", "_row", "spans")
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            spans = b.column(2).to_pylist()
-            texts = [cut(t, [(x["start"], x["end"]) for x in s], gap.encode()) if s else t for t, s in zip(texts_of(b.column(0)), spans)]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).cast(pa.string()), b.column(1)], ["_text", "_row"])
-
-    fields = {f.name: f.dataType.simpleString() for f in found.schema}
-    cleaned = found.mapInArrow(clean, f"_text string, _row {fields['_row']}")
+    cleaned = _all_blocks(packed, benchmark, "_text", **options, gap=gap.encode())
     return cleaned.select(*[F.col("_text").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -47,6 +47,48 @@ def test_decontamination_cuts_passages(spark, no_docs):
     assert decontaminate.find_phrases(df, bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
 
 
+def test_decontamination_cuts_in_one_pass(spark, docs, items):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = decontaminate.decontaminate(docs, bench)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # texts go to one worker once: the second pass held them again
+    cut = by_text(whole, *docs.columns)
+    assert by_text(decontaminate.decontaminate(docs, bench, max_benchmark_bytes=1000), *docs.columns) == cut
+    spans = decontaminate.find_phrases(docs, bench).select("doc_id", "text", "spans").collect()
+    want = [(r[0], decontaminate.cut(r[1].encode(), [tuple(x) for x in r[2]]).decode() if r[2] else r[1]) for r in spans]
+    assert by_text(whole, "doc_id", "text") == sorted(want, key=str)
+
+
+def test_decontamination_of_pieces(monkeypatch, corpus):
+    texts = [t.encode() if t is not None else None for _, t in corpus]
+    number = {w: i for i, w in enumerate(sorted({w for t in texts for w in decontaminate.words_of(t)[::2]}), 1)}
+    for piece in (1, 7, 1 << 18):
+        monkeypatch.setattr(decontaminate, "PIECE", piece)
+        assert [decontaminate.symbols_of(t, number).tolist() for t in texts] == [[number.get(w, 0) for w in decontaminate.words_of(t)] for t in texts]
+
+
+def test_decontamination_holds_a_few_bytes_a_word():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = [prose(rng, 2000) for _ in range(150)]
+    phrases = decontaminate.Phrases([("a", " ".join(texts[3].split()[50:70]).encode()), ("b", b"never there")], 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    tracemalloc.start()
+    found = next(decontaminate.searched(iter([batch]), phrases, "text", ["text"]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(found.column(2).to_pylist()) >= 20
+    assert peak < 30 * sum(found.column(1).to_pylist())  # 67 when a shard's words were Python objects
+
+    index = decontaminate.FMIndex([np.array([rng.randint(1, 30_000) for _ in range(1 << 15)])], 30_000)
+    arrays = [a for name, x in vars(index).items() if name not in ("first", "base") for a in (x if isinstance(x, list) else [x]) if isinstance(a, np.ndarray)]
+    assert sum(a.nbytes for a in arrays) < 24 * index.n  # without the tables of symbols; 86 with 64-bit arrays and a number for each bit
+
+
 def test_fm_index_finds_all_phrases():
     rng = random.Random(1)
     import numpy as np
