@@ -35,7 +35,7 @@ def test_a_kept_stage_belongs_to_the_block_around(spark, folder):
     assert folder() == []
 
 
-@pytest.mark.parametrize("forest, left", [(False, ["features"])])
+@pytest.mark.parametrize("forest, left", [(False, ["features"]), (True, ["scored"])])
 def test_the_sales_job_leaves_its_wide_table_only(spark, sales, folder, forest, left):
     done = enrich.enrich_sales(sales, ["order_date", "order_id"], numeric=MEASURES, config=enrich.FeatureConfig(forest=forest, windows=(3, 7)))
     assert folder() == left
