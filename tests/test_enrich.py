@@ -50,7 +50,7 @@ def test_the_customer_job_writes_wide_rows_once(spark, sales, folder):
     on = ["sales_amount_sum", "recency", "frequency"]
     config = enrich.FeatureConfig(windows=(3, 7), n_clusters=2, kmeans_restarts=2, pca_components=2)
     early = enrich.enrich_customers(sales, ["order_date", "order_id"], MEASURES, on, config=config)
-    assert folder() == ["features"]
+    assert folder() == ["clusters", "features"]
     names = early.rows.columns
     made = ["sales_amount_sum", "purchase_frequency", "recency", "customer_segment", "value_segment", "sales_amount_sum_outlier", "distance_to_cluster_0", "is_outlier", "pca_component_2"]
     assert [c for c in names if c in made] == made and early.n_features == len(names) - 7
